@@ -25,6 +25,13 @@ STATISTICS = (
 )
 
 
+SCHEMA = (
+    "position int, name string, dtype string, is_numeric boolean, in_contract boolean, "
+    "is_sentinel boolean, must_be_positive boolean, row_count bigint, missing_count bigint, "
+    "unique_count bigint, zero_cells bigint, negative_cells bigint, minimum double, maximum double"
+)
+
+
 def _numeric_value(field: T.StructField) -> Column:
     column = quoted(field.name)
     return column.cast("int") if isinstance(field.dataType, T.BooleanType) else column
@@ -121,6 +128,8 @@ def column_statistics(
         raise ValueError("distinct must be 'exact', 'approximate' or None")
     df = nan_to_null(df)
     fields = df.schema.fields
+    if not fields:
+        return df.sparkSession.createDataFrame([], SCHEMA)
     if distinct == "exact":
         statistics = _exact_statistics(df)
     else:

@@ -50,11 +50,12 @@ class TrainedModel:
 
 @dataclass
 class Experiment:
-    """Models trained on the same rows. ``split`` is cached until ``release``."""
+    """Models trained on the same rows. The features stay cached until ``release``."""
 
     models: list[TrainedModel]
     split: DataFrame = field(repr=False)
     plan: SplitPlan
+    cached: DataFrame = field(repr=False)
 
     @property
     def train(self) -> DataFrame:
@@ -65,7 +66,7 @@ class Experiment:
         return self.split.where(F.col("partition") == TEST)
 
     def release(self) -> None:
-        self.split.unpersist()
+        self.cached.unpersist()
 
 
 def _fit(train, contract, spec, plan, row_id, threshold, source, digest) -> TrainedModel:
@@ -100,20 +101,29 @@ def train_models(
     test_size: float = DEFAULT_TEST_SIZE, seed: int = DEFAULT_SEED,
     threshold: float = DECISION_THRESHOLD, source: str | None = None, digest: str = "",
 ) -> Experiment:
-    """Check the table, split it once and fit every named baseline on the training rows."""
+    """Check the table, split it once and fit every named baseline on the training rows.
+
+    ``names`` are baseline names or specs of one's own.
+    """
     row_id = [row_id] if isinstance(row_id, str) else list(row_id)
-    specs = [get_spec(name, seed) for name in (names if names is not None else model_names())]
-    columns = [*contract.required_names, *[c for c in row_id if c not in contract.required_names]]
-    table = df.drop(*[c for c in row_id if c not in contract.required_names])
-    require_valid(table, contract, source)
-    needed = df.select(*[quoted(c) for c in columns])
-    plan = plan_split(needed, contract.target.name, row_id, test_size, seed)
-    split = assign_partition(needed, plan).persist(StorageLevel.MEMORY_AND_DISK)
-    train = split.where(F.col("partition") == TRAIN)
-    models = [
-        _fit(train, contract, spec, plan, row_id, threshold, source, digest) for spec in specs
-    ]
-    return Experiment(models, split, plan)
+    chosen = names if names is not None else model_names()
+    specs = [n if isinstance(n, ModelSpec) else get_spec(n, seed) for n in chosen]
+    ids = [name for name in row_id if name not in contract.required_names]
+    present = [name for name in contract.required_names if name in df.columns]
+    # Only what training needs is cached, once, for the check, the split and every fit.
+    needed = df.select(*[quoted(c) for c in (*ids, *present)]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        require_valid(needed.drop(*ids), contract, source)
+        plan = plan_split(needed, contract.target.name, row_id, test_size, seed)
+        split = assign_partition(needed, plan)
+        train = split.where(F.col("partition") == TRAIN)
+        models = [
+            _fit(train, contract, spec, plan, row_id, threshold, source, digest) for spec in specs
+        ]
+    except BaseException:
+        needed.unpersist()
+        raise
+    return Experiment(models, split, plan, needed)
 
 
 def train_model(df, contract, row_id, name, **options) -> Experiment:

@@ -24,11 +24,11 @@ def score_stream(
 
 def write_stream(
     scored: DataFrame, path: str, checkpoint: str, available_now: bool = True,
-    source_format: str = "parquet",
+    sink_format: str = "parquet",
 ) -> StreamingQuery:
     """Append results to files; the checkpoint makes the output exactly-once."""
     writer = (
-        scored.writeStream.format(source_format).outputMode("append")
+        scored.writeStream.format(sink_format).outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", path)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
