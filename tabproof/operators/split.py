@@ -257,15 +257,17 @@ def check_split(df: DataFrame, split: DataFrame, row_id) -> DataFrame:
     row_id = [row_id] if isinstance(row_id, str) else list(row_id)
     ids = [quoted(name) for name in row_id]
 
-    def tally(frame, **flags):
-        return frame.select(*ids, *[F.expr(e).cast("bigint").alias(n) for n, e in flags.items()])
-
-    sides = tally(split, i="0", a=f"partition = '{TRAIN}'", b=f"partition = '{TEST}'")
-    per_id = tally(df, i="1", a="0", b="0").unionByName(sides).groupBy(*ids).agg(
-        F.sum("i").alias("i"), F.sum("a").alias("a"), F.sum("b").alias("b"))
-    kept = F.col("a") + F.col("b")
+    def tally(frame, given, train, test):
+        flags = zip(("__given", "__train", "__test"), (given, train, test))
+        return frame.select(*ids, *[F.expr(e).cast("bigint").alias(n) for n, e in flags])
+
+    sides = tally(split, "0", f"partition = '{TRAIN}'", f"partition = '{TEST}'")
+    per_id = tally(df, "1", "0", "0").unionByName(sides).groupBy(*ids).agg(
+        F.sum("__given").alias("given"), F.sum("__train").alias("train"),
+        F.sum("__test").alias("test"),
+    ).select("given", "train", "test", (F.col("train") + F.col("test")).alias("kept"))
     return per_id.agg(
-        F.count_if((F.col("a") > 0) & (F.col("b") > 0)).alias("overlap"),
-        F.coalesce(F.sum(F.greatest(F.col("i") - kept, F.lit(0))), F.lit(0)).alias("lost"),
-        F.coalesce(F.sum(F.greatest(kept - F.col("i"), F.lit(0))), F.lit(0)).alias("added"),
+        F.count_if((F.col("train") > 0) & (F.col("test") > 0)).alias("overlap"),
+        F.coalesce(F.sum(F.greatest(F.col("given") - F.col("kept"), F.lit(0))), F.lit(0)).alias("lost"),
+        F.coalesce(F.sum(F.greatest(F.col("kept") - F.col("given"), F.lit(0))), F.lit(0)).alias("added"),
     )

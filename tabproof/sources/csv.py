@@ -6,6 +6,7 @@ with the cluster, and a file is split across tasks unless quoted line breaks for
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def fingerprint(spark: SparkSession, path: str) -> str:
             .when(F.col("n") > 1, F.sha2(F.array_join("all", "\n"), 256))
             .otherwise(F.lit("")).alias("digest")
         ).first()["digest"]
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         return ""
 
 
@@ -156,7 +157,7 @@ def read_strict_csv(spark: SparkSession, path: str) -> DataFrame:
         ).alias(f"c{i}"))
     try:
         facts = rows.agg(*checks).first()
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         raise SourceReadError(path, f"malformed CSV: {error}") from error
     if facts["long_rows"]:
         raise SourceReadError(
