@@ -59,16 +59,6 @@ def share_text(part: Column, total: Column) -> Column:
     return F.when(share.isNull(), F.lit("n/a")).otherwise(F.format_string("%.1f%%", share))
 
 
-def utc_now_text() -> Column:
-    """Current time as ISO-8601 text in whole seconds, in the session time zone (UTC)."""
-    return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
-
-
 def json_text(*columns) -> Column:
     """The columns as one JSON object; nulls stay visible."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-
-
-def normalised_name(column: Column) -> Column:
-    """Strip and lower-case, for matching loosely spelt names."""
-    return F.lower(F.trim(column))

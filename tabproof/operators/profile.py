@@ -2,8 +2,8 @@
 
 The exact profile turns each row into one record per column and counts equal
 values before anything is shuffled, so a hot value travels as a single record per
-task. Every statistic then comes from those counts: one scan and one shuffle of
-distinct values for the whole table, however many columns it has.
+task. Every statistic then comes from those counts: each column is read once and only
+distinct values are shuffled, however many columns the table has.
 """
 
 from __future__ import annotations
@@ -37,46 +37,72 @@ def _numeric_value(field: T.StructField) -> Column:
     return column.cast("int") if isinstance(field.dataType, T.BooleanType) else column
 
 
-def _cell(position: int, field: T.StructField) -> Column:
-    """One typed record per cell; exactly one value slot identifies the value."""
+def _holds_numbers(field: T.StructField) -> bool:
+    kind = field.dataType
+    whole = (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType)
+    return isinstance(kind, whole) or isinstance(kind, (T.FloatType, T.DoubleType))
+
+
+def _number_cell(position: int, field: T.StructField) -> Column:
+    """The cell as a bigint or a double; the other slot is null."""
     column, kind = quoted(field.name), field.dataType
-    whole, number, text = (F.lit(None).cast(t) for t in ("bigint", "double", "string"))
-    if isinstance(kind, (T.IntegralType, T.BooleanType)):
-        whole = column.cast("bigint")
-    elif isinstance(kind, T.FractionalType):
+    whole, number = F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
         number = column.cast("double")
-        if isinstance(kind, T.DecimalType):
-            text = column.cast("string")
     elif isinstance(kind, T.DateType):
         whole = F.unix_date(column).cast("bigint")
     elif isinstance(kind, T.TimestampType):
         whole = F.unix_micros(column)
     else:
-        if isinstance(kind, T.BinaryType):
-            text = F.hex(column)
-        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-            text = F.when(column.isNotNull(), F.to_json(F.struct(column)))
-        else:
-            text = column.cast("string")
-        text = F.when(F.length(text) >= DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
+        whole = column.cast("bigint")
     return F.struct(
-        F.lit(position).alias("position"), whole.alias("whole"),
-        number.alias("number"), text.alias("text"),
-    )
+        F.lit(position).alias("position"), whole.alias("whole"), number.alias("number"))
 
 
-def _exact_statistics(df: DataFrame) -> DataFrame:
-    fields = df.schema.fields
-    cells = df.select(F.inline(F.array(*[_cell(i, f) for i, f in enumerate(fields)])))
-    values = cells.groupBy("position", "whole", "number", "text").agg(F.count(F.lit(1)).alias("n"))
-    # One empty record per column, so that a table without rows still has a profile.
-    columns = df.sparkSession.range(len(fields)).select(
+def _text_cell(position: int, field: T.StructField) -> Column:
+    """The cell as text that identifies its value; decimals keep a number for extremes."""
+    column, kind = quoted(field.name), field.dataType
+    number = F.lit(None).cast("double")
+    if isinstance(kind, T.DecimalType):
+        number = column.cast("double")
+    if isinstance(kind, T.BinaryType):
+        text = F.hex(column)
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        text = F.when(column.isNotNull(), F.to_json(F.struct(column)))
+    else:
+        text = column.cast("string")
+    text = F.when(F.length(text) >= DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
+    return F.struct(F.lit(position).alias("position"), number.alias("number"), text.alias("text"))
+
+
+def _counted_values(df: DataFrame) -> DataFrame:
+    """(position, whole, number, text, n): every distinct value of every column.
+
+    Numbers and texts are counted apart: each half reads only its own columns, and
+    number keys are much cheaper to group than text keys.
+    """
+    fields = list(enumerate(df.schema.fields))
+    halves = (
+        ([_number_cell(i, f) for i, f in fields if _holds_numbers(f)], ("whole", "number")),
+        ([_text_cell(i, f) for i, f in fields if not _holds_numbers(f)], ("number", "text")),
+    )
+    # One record per column with a count of zero, so that an empty table has a profile too.
+    counted = df.sparkSession.range(len(fields)).select(
         F.col("id").cast("int").alias("position"),
         F.lit(None).cast("bigint").alias("whole"), F.lit(None).cast("double").alias("number"),
         F.lit(None).cast("string").alias("text"), F.lit(0).cast("bigint").alias("n"),
     )
+    for cells, keys in halves:
+        if cells:
+            values = df.select(F.inline(F.array(*cells))).groupBy("position", *keys)
+            counted = counted.unionByName(
+                values.agg(F.count(F.lit(1)).alias("n")), allowMissingColumns=True)
+    return counted
+
+
+def _exact_statistics(df: DataFrame) -> DataFrame:
     present = F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()
-    return values.unionByName(columns).groupBy("position").agg(
+    return _counted_values(df).groupBy("position").agg(
         F.sum("n").alias("row_count"),
         F.sum(F.when(~present, F.col("n")).otherwise(0)).alias("missing_count"),
         F.count_if(present).alias("unique_count"),

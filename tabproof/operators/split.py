@@ -31,6 +31,9 @@ DIGITS_PER_PASS = 3
 ORDERED_ROWS = 100_000
 HASH_DIGITS = 32
 
+# Labels of rows that cannot be placed in a class.
+NO_TARGET, ODD_TARGET = -1, -2
+
 
 @dataclass(frozen=True)
 class SplitPlan:
@@ -112,11 +115,10 @@ def class_quotas(class_counts: dict, test_size: float) -> dict:
     return {c: n - quotas[c] for c, n in class_counts.items()}
 
 
-def _check_stratifiable(class_counts, nulls, test_size) -> None:
-    if not 0.0 < test_size < 1.0:
-        raise SplitError(f"test_size must lie strictly between 0 and 1, got {test_size}")
-    if nulls:
-        raise SplitError(f"{nulls} row(s) have no target value")
+def _check_stratifiable(class_counts, test_size) -> None:
+    for marker, problem in ((NO_TARGET, "no target value"), (ODD_TARGET, "a target other than 0 or 1")):
+        if class_counts.get(marker):
+            raise SplitError(f"{class_counts[marker]} row(s) have {problem}")
     rarest = min(class_counts.values(), default=0)
     if rarest < 2:
         raise SplitError(f"the rarest class has {rarest} row(s); each class needs at least 2")
@@ -141,13 +143,18 @@ def plan_split(
     ``row_id`` must identify a row; ids shared by rows on both sides of a cut-off
     would break the exact sizes and raise.
     """
+    if not 0.0 < test_size < 1.0:
+        raise SplitError(f"test_size must lie strictly between 0 and 1, got {test_size}")
     row_id = (row_id,) if isinstance(row_id, str) else tuple(row_id)
     absent = [name for name in (target, *row_id) if name not in df.columns]
     if absent:
         raise SplitError(f"column(s) not present: {absent}")
     keys = nan_to_null(df.select(quoted(target), *[quoted(n) for n in row_id if n != target]))
+    value = quoted(target).cast("double")
+    # Four labels at most, whatever the column holds: the counts stay small.
+    label = F.when(value.isNull(), NO_TARGET).when(value.isin(0.0, 1.0), value.cast("int"))
     hashed = keys.select(
-        quoted(target).alias("label"), row_hash(seed, row_id).alias("hash"),
+        label.otherwise(ODD_TARGET).alias("label"), row_hash(seed, row_id).alias("hash"),
         F.struct(*[quoted(name) for name in row_id]).alias("id"),
     )
     label, hash_ = F.col("label"), F.col("hash")
@@ -157,13 +164,10 @@ def plan_split(
         return counted.agg(F.count(F.lit(1)).alias("n")).collect()
 
     first = histogram(hashed, DIGITS_PER_PASS)
-    class_counts, nulls = {}, 0
+    class_counts = {}
     for row in first:
-        if row["label"] is None:
-            nulls += row["n"]
-        else:
-            class_counts[row["label"]] = class_counts.get(row["label"], 0) + row["n"]
-    _check_stratifiable(class_counts, nulls, test_size)
+        class_counts[row["label"]] = class_counts.get(row["label"], 0) + row["n"]
+    _check_stratifiable(class_counts, test_size)
     quotas = class_quotas(class_counts, test_size)
 
     wanted = {c: n for c, n in quotas.items() if n > 0}
@@ -224,7 +228,8 @@ def assign_partition(df: DataFrame, plan: SplitPlan, name: str = "partition") ->
             F.lit(v).cast(df.schema[n].dataType).alias(n) for n, v in zip(plan.row_id, cut_id)
         ])
         before = (hash_ < cut_hash) | ((hash_ == cut_hash) & same)
-        held_out = F.when(quoted(plan.target) == F.lit(value), before).otherwise(held_out)
+        in_class = quoted(plan.target).cast("double") == F.lit(float(value))
+        held_out = F.when(in_class, before).otherwise(held_out)
     return df.withColumn(name, F.when(held_out, TEST).otherwise(TRAIN))
 
 

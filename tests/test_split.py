@@ -93,6 +93,12 @@ def test_composite_and_string_ids(spark):
     assert tuple(check_split(df, split, ["a", "b"]).first()) == (0, 0, 0)
 
 
+@pytest.mark.parametrize("kind", ["boolean", "double", "bigint"])
+def test_any_numeric_target_type(table, kind):
+    other = table.withColumn("y", F.col("y").cast(kind))
+    assert members(stratified_split(other, "y", "id")) == members(stratified_split(table, "y", "id"))
+
+
 def test_guards(spark, table):
     one = spark.createDataFrame([(i, int(i == 0)) for i in range(9)], "id int, y int")
     with pytest.raises(SplitError, match="at least 2"):
@@ -104,6 +110,8 @@ def test_guards(spark, table):
         plan_split(few, "y", "id", 0.95)
     with pytest.raises(SplitError, match="no target"):
         plan_split(table.withColumn("y", F.when(F.col("id") > 3, F.col("y"))), "y", "id")
+    with pytest.raises(SplitError, match="other than 0 or 1"):
+        plan_split(table.withColumn("y", F.col("id")), "y", "id")
     with pytest.raises(SplitError, match="strictly between"):
         plan_split(table, "y", "id", 1.0)
     with pytest.raises(SplitError, match="not present"):

@@ -127,6 +127,13 @@ def metrics_fine(spark, sf_dir):
     return _shown(binary_metrics(scored_lineitem(spark, sf_dir), "label", "fine", threshold=0.3))
 
 
+def metrics_from_probabilities(spark, sf_dir):
+    """The same metrics from a column of two probabilities per row."""
+    df = scored_lineitem(spark, sf_dir).select(
+        "label", F.array(1 - F.col("tied"), F.col("tied")).alias("probability"))
+    return _shown(binary_metrics(df, "label", "probability"))
+
+
 MODELS = ("coarse", "fine", "tied")
 
 
@@ -297,6 +304,7 @@ QUERIES = {
     "confusion_matrix": confusion_matrix,
     "binary_metrics": metrics_tied,
     "binary_metrics_fine_scores": metrics_fine,
+    "binary_metrics_from_probabilities": metrics_from_probabilities,
     "binary_metrics_by_model": metrics_by_model,
     "undefined_metrics": undefined_metrics,
     "roc_points": roc_tied,
@@ -318,6 +326,8 @@ ORACLES = {
     "binary_metrics": _metrics_sql(f"SELECT label, tied AS score FROM ({SCORED_SQL})"),
     "binary_metrics_fine_scores": _metrics_sql(
         f"SELECT label, fine AS score FROM ({SCORED_SQL})", threshold=0.3),
+    "binary_metrics_from_probabilities": _metrics_sql(
+        f"SELECT label, tied AS score FROM ({SCORED_SQL})"),
     "binary_metrics_by_model": METRICS_BY_MODEL_SQL,
     "undefined_metrics": UNDEFINED_SQL,
     "roc_points": _roc_sql("tied"),

@@ -9,6 +9,9 @@ from tabproof.operators.records import align_records
 from tabproof.operators.split import (
     check_split, class_balance, partition_sizes, stratified_split, take_partition, with_row_id,
 )
+from tabproof.plans.training import (
+    load_preparation, save_preparation, write_preparation_json,
+)
 from tabproof.sources.shared import shared_folder
 from tabproof.streaming.scoring import prepare_stream, write_stream
 from workload.tables import (
@@ -259,6 +262,23 @@ STREAM_SQL = PREPARED_CTE + """
     FROM m, a
 """
 
+def saved_preparation(spark, sf_dir):
+    """A preparation written to disk, read back and applied."""
+    df, folder = lineitem(spark, sf_dir), shared_folder(spark, "preparation")
+    save_preparation(fit_preparation(df, LINEITEM, "none", passthrough=KEYS), folder)
+    return _rounded(load_preparation(folder).transform(df), FEATURES)
+
+
+def preparation_json(spark, sf_dir):
+    """What a preparation has fitted, written as JSON and read back."""
+    split, folder = split_events(spark, sf_dir), shared_folder(spark, "description")
+    write_preparation_json(fit_preparation(split.where("partition = 'train'"), EVENTS), folder)
+    lines = spark.read.schema(
+        "position int, feature string, is_sentinel boolean, strategy string, scaling string, "
+        "statistic double, mean double, scale double").json(folder)
+    return _rounded(lines, ["statistic", "mean", "scale"])
+
+
 QUERIES = {
     "contract_projection": contract_projection,
     "sentinel_to_null": sentinel_to_null,
@@ -277,6 +297,8 @@ QUERIES = {
     "prepare_train_only": prepare_train_only,
     "describe_preparation": describe,
     "score_stream": stream_preparation,
+    "saved_preparation": saved_preparation,
+    "preparation_json": preparation_json,
 }
 
 ORACLES = {
@@ -297,4 +319,6 @@ ORACLES = {
     "prepare_train_only": PREPARE_SQL,
     "describe_preparation": DESCRIBE_SQL,
     "score_stream": STREAM_SQL,
+    "saved_preparation": IMPUTE_SQL["median"],
+    "preparation_json": DESCRIBE_SQL,
 }

@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from tabproof.contract import ColumnRule, TableContract
-from tabproof.sources.csv import file_manifest, load_and_validate, read_strict_csv
+from tabproof.sources.csv import (
+    file_manifest, load_and_validate, load_training_table, read_strict_csv,
+)
 from tabproof.sources.shared import shared_folder
 from workload.tables import table
 
@@ -76,6 +78,25 @@ CSV_TYPES_SQL = """
 """
 
 
+def csv_training_table(spark, sf_dir):
+    """A table that passes its contract, with the length of its fingerprint."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice",
+        (F.col("o_orderstatus") == "F").cast("int").alias("is_final"))
+    contract = TableContract(
+        (ColumnRule("o_custkey", "int"), ColumnRule("o_totalprice", must_be_positive=True)),
+        ColumnRule("is_final", "int"))
+    df, digest = load_training_table(spark, _as_csv(spark, sf_dir, "orders", orders), contract)
+    return df.withColumn("digest_length", F.lit(len(digest)))
+
+
+CSV_TRAINING_SQL = """
+    SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderstatus = 'F' AS BIGINT) AS is_final,
+           CAST(64 AS INTEGER) AS digest_length
+    FROM orders
+"""
+
+
 def manifest(spark, sf_dir):
     return file_manifest(spark, f"{sf_dir}/lineitem.parquet")
 
@@ -85,6 +106,7 @@ QUERIES = {
     "csv_missing_tokens": csv_missing_tokens,
     "csv_documents": csv_documents,
     "csv_types": csv_types,
+    "csv_training_table": csv_training_table,
     "file_manifest": manifest,
 }
 
@@ -93,4 +115,5 @@ ORACLES = {
     "csv_missing_tokens": CSV_MISSING_SQL,
     "csv_documents": CSV_DOCUMENTS_SQL,
     "csv_types": CSV_TYPES_SQL,
+    "csv_training_table": CSV_TRAINING_SQL,
 }
