@@ -25,7 +25,7 @@ STATISTICS = (
 )
 
 
-SCHEMA = (
+STATISTICS_SCHEMA = (
     "position int, name string, dtype string, is_numeric boolean, in_contract boolean, "
     "is_sentinel boolean, must_be_positive boolean, row_count bigint, missing_count bigint, "
     "unique_count bigint, zero_cells bigint, negative_cells bigint, minimum double, maximum double"
@@ -37,66 +37,63 @@ def _numeric_value(field: T.StructField) -> Column:
     return column.cast("int") if isinstance(field.dataType, T.BooleanType) else column
 
 
-def _holds_numbers(field: T.StructField) -> bool:
-    kind = field.dataType
-    whole = (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType)
-    return isinstance(kind, whole) or isinstance(kind, (T.FloatType, T.DoubleType))
+WHOLE, NUMBER, TEXT = "whole", "number", "text"
 
 
-def _number_cell(position: int, field: T.StructField) -> Column:
-    """The cell as a bigint or a double; the other slot is null."""
-    column, kind = quoted(field.name), field.dataType
-    whole, number = F.lit(None).cast("bigint"), F.lit(None).cast("double")
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        number = column.cast("double")
-    elif isinstance(kind, T.DateType):
-        whole = F.unix_date(column).cast("bigint")
-    elif isinstance(kind, T.TimestampType):
-        whole = F.unix_micros(column)
-    else:
-        whole = column.cast("bigint")
-    return F.struct(
-        F.lit(position).alias("position"), whole.alias("whole"), number.alias("number"))
+def _kind(field: T.StructField) -> str:
+    """In which form the values of a column are told apart."""
+    kind = field.dataType
+    if isinstance(kind, (T.IntegralType, T.BooleanType, T.DateType, T.TimestampType)):
+        return WHOLE
+    return NUMBER if isinstance(kind, (T.FloatType, T.DoubleType)) else TEXT
 
 
-def _text_cell(position: int, field: T.StructField) -> Column:
-    """The cell as text that identifies its value; decimals keep a number for extremes."""
+def _value(field: T.StructField) -> Column:
+    """The cell as a bigint, a double or a text that identifies its value."""
     column, kind = quoted(field.name), field.dataType
-    number = F.lit(None).cast("double")
-    if isinstance(kind, T.DecimalType):
-        number = column.cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    if _kind(field) == WHOLE:
+        return column.cast("bigint")
+    if _kind(field) == NUMBER:
+        return column.cast("double")
     if isinstance(kind, T.BinaryType):
         text = F.hex(column)
     elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
         text = F.when(column.isNotNull(), F.to_json(F.struct(column)))
     else:
         text = column.cast("string")
-    text = F.when(F.length(text) >= DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
-    return F.struct(F.lit(position).alias("position"), number.alias("number"), text.alias("text"))
+    return F.when(F.length(text) >= DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
 
 
 def _counted_values(df: DataFrame) -> DataFrame:
     """(position, whole, number, text, n): every distinct value of every column.
 
-    Numbers and texts are counted apart: each half reads only its own columns, and
-    number keys are much cheaper to group than text keys.
+    The three kinds of value are counted apart: each reads only its own columns, and
+    narrow keys of one type are much cheaper to group than keys with empty slots.
     """
     fields = list(enumerate(df.schema.fields))
-    halves = (
-        ([_number_cell(i, f) for i, f in fields if _holds_numbers(f)], ("whole", "number")),
-        ([_text_cell(i, f) for i, f in fields if not _holds_numbers(f)], ("number", "text")),
-    )
     # One record per column with a count of zero, so that an empty table has a profile too.
     counted = df.sparkSession.range(len(fields)).select(
         F.col("id").cast("int").alias("position"),
-        F.lit(None).cast("bigint").alias("whole"), F.lit(None).cast("double").alias("number"),
-        F.lit(None).cast("string").alias("text"), F.lit(0).cast("bigint").alias("n"),
+        F.lit(None).cast("bigint").alias(WHOLE), F.lit(None).cast("double").alias(NUMBER),
+        F.lit(None).cast("string").alias(TEXT), F.lit(0).cast("bigint").alias("n"),
     )
-    for cells, keys in halves:
-        if cells:
-            values = df.select(F.inline(F.array(*cells))).groupBy("position", *keys)
-            counted = counted.unionByName(
-                values.agg(F.count(F.lit(1)).alias("n")), allowMissingColumns=True)
+    for kind in (WHOLE, NUMBER, TEXT):
+        own = [(i, f) for i, f in fields if _kind(f) == kind]
+        if not own:
+            continue
+        cells = F.array(*[
+            F.struct(F.lit(i).alias("position"), _value(f).alias(kind)) for i, f in own])
+        values = df.select(F.inline(cells)).groupBy("position", kind).agg(
+            F.count(F.lit(1)).alias("n"))
+        decimals = [i for i, f in own if isinstance(f.dataType, T.DecimalType)]
+        if decimals:
+            number = F.when(F.col("position").isin(decimals), F.col(TEXT).try_cast("double"))
+            values = values.withColumn(NUMBER, number)
+        counted = counted.unionByName(values, allowMissingColumns=True)
     return counted
 
 
@@ -155,7 +152,7 @@ def column_statistics(
     df = nan_to_null(df)
     fields = df.schema.fields
     if not fields:
-        return df.sparkSession.createDataFrame([], SCHEMA)
+        return df.sparkSession.createDataFrame([], STATISTICS_SCHEMA)
     if distinct == "exact":
         statistics = _exact_statistics(df)
     else:

@@ -15,15 +15,18 @@ from tabproof.operators.duplicates import duplicate_rows
 from tabproof.operators.findings import (
     ERROR, SCHEMA, WARNING, finding_counts, finding_text, table_findings,
 )
-from tabproof.operators.profile import column_profile, column_statistics, target_distribution
+from tabproof.operators.profile import (
+    STATISTICS_SCHEMA, column_profile, column_statistics, target_distribution,
+)
 
 
 @dataclass
 class QualityReport:
-    """Lazy report; each part is a DataFrame and runs only when it is used.
+    """The parts of a report, each a DataFrame that runs only when it is used.
 
-    The findings and the profile hold a few rows per table column, so their rows are
-    fetched once and kept. Table rows are never fetched.
+    The column statistics are one row per column. They are computed once and kept as
+    such; profile, findings and facts derive from them without another scan. Rows of
+    the table are never fetched.
     """
 
     df: DataFrame = field(repr=False)
@@ -34,7 +37,8 @@ class QualityReport:
 
     @cached_property
     def statistics(self) -> DataFrame:
-        return column_statistics(self.df, self.contract, self.distinct)
+        rows = column_statistics(self.df, self.contract, self.distinct).collect()
+        return self.df.sparkSession.createDataFrame(rows, STATISTICS_SCHEMA)
 
     @cached_property
     def column_profile(self) -> DataFrame:
