@@ -50,8 +50,9 @@ def _logistic_regression(p, train_rows, seed):
 
 
 def _random_forest(p, train_rows, seed):
+    # Deep trees: remember each row's node instead of walking down from every root.
     return RandomForestClassifier(
-        numTrees=p["trees"], maxDepth=p["max_depth"], featureSubsetStrategy=p["feature_subset"],
+        cacheNodeIds=True, maxMemoryInMB=1024, numTrees=p["trees"], maxDepth=p["max_depth"], featureSubsetStrategy=p["feature_subset"],
         minInstancesPerNode=p["min_leaf_rows"], seed=seed)
 
 

@@ -27,6 +27,7 @@ from tabproof.operators.split import (
 )
 from tabproof.plans.models import ModelSpec, get_spec, model_names
 from tabproof.plans.quality import require_valid
+from tabproof.sources.shared import use_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -108,6 +109,7 @@ def train_models(
     row_id = [row_id] if isinstance(row_id, str) else list(row_id)
     chosen = names if names is not None else model_names()
     specs = [n if isinstance(n, ModelSpec) else get_spec(n, seed) for n in chosen]
+    use_checkpoint_dir(df.sparkSession)
     ids = [name for name in row_id if name not in contract.required_names]
     present = [name for name in contract.required_names if name in df.columns]
     # Only what training needs is cached, once, for the check, the split and every fit.

@@ -20,3 +20,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="tabproof-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def use_checkpoint_dir(spark: SparkSession) -> None:
+    """Let long fits cut their lineage in the folder the session names, if it names one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
