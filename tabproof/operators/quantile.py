@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tabproof.functions.columns import quoted
 
 SKETCH_ACCURACY = 10_000
+# How far around the wanted rank the two proposed values are taken.
+MARGIN = 3.0 / SKETCH_ACCURACY
 # A search that has this many values left is finished by sorting them.
 FINISH_BY_SORTING = 100_000
 
@@ -62,31 +64,48 @@ class _Search:
             self.below, self.inside = to_low, below_high - to_low
 
 
+def median_facts(columns: list[str]) -> Column:
+    """Aggregate expression: per column its count and two values around the middle."""
+    around = F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN))
+    return F.array(*[
+        F.struct(
+            F.count(quoted(c)).alias("n"),
+            F.percentile_approx(quoted(c).cast("double"), around, F.lit(SKETCH_ACCURACY))
+            .alias("proposal"),
+        )
+        for c in columns
+    ])
+
+
 def exact_medians(
-    df: DataFrame, columns: list[str], finish_by_sorting: int = FINISH_BY_SORTING,
-    counts: list[int] | None = None,
+    df: DataFrame, columns: list[str], finish_by_sorting: int = FINISH_BY_SORTING, facts=None,
 ) -> list[float | None]:
     """Median of each column over its non-null values; None for a column without any.
 
-    With an even number of values it is the mean of the two middle ones. ``counts``
-    are the numbers of non-null values, when the caller has them already.
+    With an even number of values it is the mean of the two middle ones. ``facts`` is
+    the value of :func:`median_facts`, when the caller has computed it along the way.
     """
     if not columns:
         return []
+    if facts is None:
+        facts = df.agg(median_facts(columns)).first()[0]
     df = df.select([quoted(name).cast("double").alias(f"v{i}") for i, name in enumerate(columns)])
     values = [F.col(f"v{i}") for i in range(len(columns))]
-    if counts is None:
-        counts = list(df.agg(*[F.count(v) for v in values]).first())
     searches = []
-    for i, n in enumerate(counts):
+    for i, fact in enumerate(facts):
+        n = fact["n"]
         ranks = sorted({(n - 1) // 2, n // 2}) if n else []
         searches += [_Search(i, rank, n) for rank in ranks]
 
-    while True:
-        active = [s for s in searches if s.open and s.inside > finish_by_sorting]
-        if not active:
-            break
-        _narrow(df, values, active)
+    def active():
+        return [s for s in searches if s.open and s.inside > finish_by_sorting]
+
+    if active():
+        groups = _by_bounds(active())
+        _settle(df, values, groups, [facts[position]["proposal"] for position, _, _ in groups])
+    while active():
+        groups = _by_bounds(active())
+        _settle(df, values, groups, _propose(df, values, groups))
     rest = [s for s in searches if s.open]
     if rest:
         _finish(df, values, rest)
@@ -103,29 +122,31 @@ def _by_bounds(searches) -> dict:
     return shared
 
 
-def _narrow(df, values, active) -> None:
-    """One round: a sketch pass and a counting pass for all searches together."""
-    shared = _by_bounds(active)
-    margin = 3.0 / SKETCH_ACCURACY
+def _propose(df, values, groups) -> list:
+    """Two values around the wanted ranks of each group, from one sketching pass."""
     sketches = []
-    for group in shared.values():
+    for group in groups.values():
         first, last = group[0], group[-1]
-        low = (first.rank - first.below) / first.inside - margin
-        high = (last.rank - last.below + 1) / last.inside + margin
+        low = (first.rank - first.below) / first.inside - MARGIN
+        high = (last.rank - last.below + 1) / last.inside + MARGIN
         around = F.array(F.lit(max(0.0, low)), F.lit(min(1.0, high)))
         value = values[first.position]
         sketches.append(F.percentile_approx(
             F.when(first.within(value), value), around, F.lit(SKETCH_ACCURACY)))
-    proposals = list(df.agg(*sketches).first())
+    return list(df.agg(*sketches).first())
+
+
+def _settle(df, values, groups, proposals) -> None:
+    """Count exactly around the proposals, in one pass for all groups."""
     counters = []
-    for (position, _, _), (low, high) in zip(shared, proposals):
+    for (position, _, _), (low, high) in zip(groups, proposals):
         value = values[position]
         counters.append(F.array(
             F.count_if(value < low), F.count_if(value <= low),
             F.count_if(value < high), F.count_if(value <= high),
         ))
     counted = df.agg(*counters).first()
-    for group, (low, high), counts in zip(shared.values(), proposals, counted):
+    for group, (low, high), counts in zip(groups.values(), proposals, counted):
         for s in group:
             s.settle(low, high, counts)
 

@@ -54,6 +54,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]").appName("tabproof-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
