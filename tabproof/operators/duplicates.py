@@ -30,17 +30,17 @@ def duplicate_rows(df: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> D
 
 def _count_surplus(df, columns, broadcast_hashes) -> int:
     hashed = df.withColumn("__row_hash", F.xxhash64(*columns))
-    repeated = (
-        hashed.groupBy("__row_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("__row_hash").persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    repeated = hashed.groupBy("__row_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # One more than may be broadcast: up to the bound, nothing is cut off.
+    few = repeated.select("__row_hash").limit(broadcast_hashes + 1).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        found = repeated.limit(broadcast_hashes + 1).count()
+        found = few.count()
         if found == 0:
             return 0
         if found <= broadcast_hashes:
-            df = hashed.join(F.broadcast(repeated), "__row_hash", "left_semi")
+            df = hashed.join(F.broadcast(few), "__row_hash", "left_semi")
         groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
         return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
     finally:
-        repeated.unpersist()
+        few.unpersist()

@@ -57,14 +57,18 @@ def hard_predictions(
     return df.withColumn(name, (positive_score(df, score) >= F.lit(threshold)).cast("int"))
 
 
-def _checked(df: DataFrame, label: str, score: str) -> tuple[Column, Column, list[float]]:
-    """Label and score columns plus range edges, after one pass that checks both."""
+def _checked(df: DataFrame, label: str, score: str):
+    """Label and score columns and the facts of one pass that checks both.
+
+    The facts hold ``rows``, ``positives`` and the range ``edges`` of the scores.
+    """
     if not is_numeric(df.schema[label].dataType):
         raise EvaluationError(f"label column '{label}' is not numeric")
     truth = quoted(label)
     value, right_width = _score_parts(df, score)
     facts = df.agg(
         F.count(F.lit(1)).alias("rows"),
+        F.count_if(truth.cast("double") == 1.0).alias("positives"),
         F.count_if(~_is_binary(truth)).alias("labels"),
         F.count_if(~F.coalesce(right_width, F.lit(False))).alias("widths"),
         F.count_if(~is_finite(value)).alias("infinite"),
@@ -81,7 +85,7 @@ def _checked(df: DataFrame, label: str, score: str) -> tuple[Column, Column, lis
     ):
         if count:
             raise EvaluationError(f"{count} {problem}")
-    return truth, value, facts["edges"]
+    return truth, value, facts
 
 
 def confusion_counts(df: DataFrame, label: str, predicted: str, by=()) -> DataFrame:
@@ -125,9 +129,9 @@ def binary_metrics(
     ROC-AUC and average precision come from the scores, never from hard predictions.
     """
     _check_threshold(threshold)
-    truth, value, edges = _checked(df, label, score)
+    truth, value, facts = _checked(df, label, score)
     by = [by] if isinstance(by, str) else list(by)
-    ranked = running_counts(score_counts(df, truth, value, by), edges, by)
+    ranked = running_counts(score_counts(df, truth, value, by), facts["edges"], by)
     pos, neg = F.col("pos"), F.col("neg")
     cum_pos, cum_neg = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     chosen = F.col("score") >= F.lit(threshold)
@@ -173,12 +177,15 @@ def roc_points(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
 
     Points in the middle of a straight run of single steps are left out.
     """
-    truth, value, edges = _checked(df, label, score)
+    truth, value, facts = _checked(df, label, score)
     by = [by] if isinstance(by, str) else list(by)
-    classes = df.groupBy(*by).agg(F.min(truth).alias("low"), F.max(truth).alias("high"))
-    if classes.where("low = high").limit(1).count():
+    single = facts["positives"] in (0, facts["rows"])
+    if by and not single:
+        classes = df.groupBy(*by).agg(F.min(truth).alias("low"), F.max(truth).alias("high"))
+        single = classes.where("low = high").limit(1).count() > 0
+    if single:
         raise EvaluationError("a ROC curve needs both classes; only one is present")
-    ranked = running_counts(score_counts(df, truth, value, by), edges, by)
+    ranked = running_counts(score_counts(df, truth, value, by), facts["edges"], by)
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     last = F.col("next_pos").isNull()
     corner = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
@@ -199,9 +206,9 @@ def pr_points(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
     One point per distinct score plus the end point (0, 1) without a threshold.
     Recall is 1 everywhere when there are no positives.
     """
-    truth, value, edges = _checked(df, label, score)
+    truth, value, facts = _checked(df, label, score)
     by = [by] if isinstance(by, str) else list(by)
-    ranked = running_counts(score_counts(df, truth, value, by), edges, by)
+    ranked = running_counts(score_counts(df, truth, value, by), facts["edges"], by)
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     point = F.struct(
         F.coalesce(safe_ratio(F.col("cum_pos"), F.col("all_pos")), F.lit(1.0)).alias("recall"),
