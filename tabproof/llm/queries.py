@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from tabproof.llm.bpe import token_digests
 from tabproof.llm.exact_dedup import exact_duplicates
 from tabproof.llm.mixing import mix_sources
+from tabproof.llm.secrets import scan_secrets
 from tabproof.llm.url_filter import filter_urls
 
+#: The tokenizer file of op6 and of the pipeline's last stage.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -31,6 +38,14 @@ OP4_SQL = r"""
 """
 
 
+def op5_secret_scan(spark, sf_dir):
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op6_bpe(spark, sf_dir):
+    return token_digests(_table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op7_url_filter(spark, sf_dir):
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -122,7 +137,8 @@ OP8_SQL = r"""
 """
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_url_filter, op8_mixing)}
+QUERIES = {f.__name__: f for f in (
+    op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing)}
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_url_filter": OP7_SQL,
