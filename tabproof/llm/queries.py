@@ -6,6 +6,7 @@ import public_tokenizers
 
 from tabproof.llm.bpe import token_digests
 from tabproof.llm.exact_dedup import exact_duplicates
+from tabproof.llm.html_extract import extract_pages
 from tabproof.llm.mixing import mix_sources
 from tabproof.llm.secrets import scan_secrets
 from tabproof.llm.url_filter import filter_urls
@@ -18,6 +19,10 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extract(spark, sf_dir):
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -138,7 +143,7 @@ OP8_SQL = r"""
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing)}
+    op1_html_extract, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing)}
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_url_filter": OP7_SQL,
