@@ -8,6 +8,7 @@ from tabproof.llm.bpe import token_digests
 from tabproof.llm.exact_dedup import exact_duplicates
 from tabproof.llm.html_extract import extract_pages
 from tabproof.llm.mixing import mix_sources
+from tabproof.llm.quality import classify_quality
 from tabproof.llm.secrets import scan_secrets
 from tabproof.llm.url_filter import filter_urls
 
@@ -23,6 +24,10 @@ def op1_html_extract(spark, sf_dir):
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op3_quality(spark, sf_dir):
+    return classify_quality(_table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -143,7 +148,7 @@ OP8_SQL = r"""
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extract, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing)}
+    op1_html_extract, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing)}
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_url_filter": OP7_SQL,
