@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
+import corpus_pipeline
 from tabproof.llm.bpe import token_digests
 from tabproof.llm.exact_dedup import exact_duplicates
 from tabproof.llm.html_extract import extract_pages
 from tabproof.llm.mixing import mix_sources
+from tabproof.llm.near_dedup import near_duplicates
 from tabproof.llm.quality import classify_quality
 from tabproof.llm.secrets import scan_secrets
 from tabproof.llm.url_filter import filter_urls
 
-#: The tokenizer file of op6 and of the pipeline's last stage.
+#: The tokenizer file of op6.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -147,8 +149,14 @@ OP8_SQL = r"""
 """
 
 
+def op9_near_dedup(spark, sf_dir):
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_html_extract, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing)}
+    op1_html_extract, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing,
+    op9_near_dedup)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_url_filter": OP7_SQL,
