@@ -12,6 +12,7 @@ from tabproof.llm.mixing import mix_sources
 from tabproof.llm.near_dedup import near_duplicates
 from tabproof.llm.quality import classify_quality
 from tabproof.llm.secrets import scan_secrets
+from tabproof.llm.substring_dedup import repeat_digests
 from tabproof.llm.url_filter import filter_urls
 
 #: The tokenizer file of op6.
@@ -26,6 +27,10 @@ def op1_html_extract(spark, sf_dir):
     return extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark, sf_dir):
     return classify_quality(_table(spark, sf_dir, "documents"))
 
@@ -154,7 +159,7 @@ def op9_near_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_html_extract, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing,
+    op1_html_extract, op2_substring_dedup, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing,
     op9_near_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {
