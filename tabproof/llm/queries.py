@@ -13,6 +13,7 @@ from tabproof.llm.near_dedup import near_duplicates
 from tabproof.llm.quality import classify_quality
 from tabproof.llm.secrets import scan_secrets
 from tabproof.llm.substring_dedup import repeat_digests
+from tabproof.llm.topk_search import search
 from tabproof.llm.url_filter import filter_urls
 
 #: The tokenizer file of op6.
@@ -158,9 +159,16 @@ def op9_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_topk_search(spark, sf_dir):
+    """Every document whose id is divisible by 50, as a query against all documents."""
+    docs = _table(spark, sf_dir, "documents")
+    queries = docs.where("doc_id % 50 = 0").select(docs["doc_id"].alias("query_id"), "text")
+    return search(docs, queries)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_substring_dedup, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing,
-    op9_near_dedup)}
+    op9_near_dedup, op10_topk_search)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
