@@ -24,6 +24,57 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     ])
 
 
+def _has_own_order(data_type: T.DataType) -> bool:
+    if isinstance(data_type, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(data_type, T.ArrayType):
+        return _has_own_order(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return all(_has_own_order(f.dataType) for f in data_type.fields)
+    return True
+
+
+def comparable(column: Column, data_type: T.DataType) -> Column:
+    """The value in a form that can be compared: maps as sorted entries, variants as JSON.
+
+    Equal maps become equal whatever the order of their entries.
+    """
+    if _has_own_order(data_type):
+        return column
+    if isinstance(data_type, T.VariantType):
+        return F.to_json(column)
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(column, lambda x: comparable(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        fields = [comparable(column.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    entries = F.transform(F.map_entries(column), lambda e: F.struct(
+        comparable(e["key"], data_type.keyType).alias("key"),
+        comparable(e["value"], data_type.valueType).alias("value")))
+    return F.array_sort(entries)
+
+
+def value_text(*columns: Column) -> Column:
+    """Comparable values as one text that differs where they do."""
+    return F.to_json(F.struct(*columns), {
+        "ignoreNullFields": "false",
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    })
+
+
+def distinct_names(df: DataFrame) -> DataFrame:
+    """The same table; a repeated column name gets its place behind it, as in ``x#2``."""
+    names: list[str] = []
+    for name in df.columns:
+        new, n = name, 1
+        while new in names:
+            n += 1
+            new = f"{name}#{n}"
+        names.append(new)
+    return df if names == df.columns else df.toDF(*names)
+
+
 def quoted(name: str) -> Column:
     """Column by its exact name, also when the name holds dots or spaces."""
     return F.col("`" + name.replace("`", "``") + "`")

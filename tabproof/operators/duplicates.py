@@ -1,46 +1,33 @@
-"""Surplus copies of identical rows, without shuffling whole rows where avoidable."""
+"""Surplus copies of identical rows, without shuffling whole rows."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabproof.functions.columns import nan_to_null, quoted
+from tabproof.functions.columns import comparable, distinct_names, nan_to_null, quoted, value_text
 
-# A candidate set of at most this many 8-byte hashes is broadcast (some 16 MB in memory).
-BROADCAST_HASHES = 500_000
 
+def _cell(field: T.StructField):
+    """A cell as it is compared: one zero, binary as hexadecimal, maps in order."""
+    column, kind = quoted(field.name), field.dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return column + F.lit(0.0).cast(kind)
+    return F.hex(column) if isinstance(kind, T.BinaryType) else comparable(column, kind)
 
-def duplicate_rows(df: DataFrame, broadcast_hashes: int = BROADCAST_HASHES) -> DataFrame:
+
+def duplicate_rows(df: DataFrame) -> DataFrame:
     """One row, ``duplicate_count``: rows beyond the first of each identical group.
 
-    Null equals null. First only 64-bit row hashes are counted; a hash seen once
-    proves its row unique. Rows under repeated hashes are then compared in full, so
-    hash collisions never count. With too many repeated hashes to broadcast, whole
-    rows are grouped directly. Both groupings combine copies before the shuffle, so
-    one row copied a billion times is one record per task.
+    Null equals null, and maps are equal whatever the order of their entries. Rows are told
+    apart by a 256-bit digest of all their values, so 32 bytes travel per distinct row.
+    Copies meet before the shuffle: one row copied a billion times is one record per task.
     """
-    spark = df.sparkSession
-    df = nan_to_null(df)
-    columns = [quoted(name) for name in df.columns]
-    count = _count_surplus(df, columns, broadcast_hashes) if columns else 0
-    return spark.range(1).select(F.lit(count).cast("bigint").alias("duplicate_count"))
-
-
-def _count_surplus(df, columns, broadcast_hashes) -> int:
-    hashed = df.withColumn("__row_hash", F.xxhash64(*columns))
-    repeated = hashed.groupBy("__row_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    # One more than may be broadcast: up to the bound, nothing is cut off.
-    few = repeated.select("__row_hash").limit(broadcast_hashes + 1).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        found = few.count()
-        if found == 0:
-            return 0
-        if found <= broadcast_hashes:
-            df = hashed.join(F.broadcast(few), "__row_hash", "left_semi")
-        groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies"))
-        return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0))).first()[0]
-    finally:
-        few.unpersist()
+    df = nan_to_null(distinct_names(df))
+    if not df.columns:
+        return df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("duplicate_count"))
+    cells = [_cell(f).alias(f"c{i}") for i, f in enumerate(df.schema.fields)]
+    groups = df.select(F.unhex(F.sha2(value_text(*cells), 256)).alias("row")).groupBy("row").agg(
+        F.count(F.lit(1)).alias("copies"))
+    return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_count"))

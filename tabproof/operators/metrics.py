@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from tabproof.errors import EvaluationError
 from tabproof.functions.columns import is_finite, is_numeric, quoted, safe_ratio, share_text
-from tabproof.operators.ordered import range_edges, running_counts, score_counts
+from tabproof.operators.ordered import cell_facts, range_edges, running_counts, score_counts
+from tabproof.operators.quantile import coarse_cell
 
 # Fixed value: the conventional cut-off.
 DECISION_THRESHOLD = 0.5
@@ -42,7 +43,7 @@ def positive_score(df: DataFrame, score: str) -> Column:
 
 def _check_threshold(threshold: float) -> None:
     if not 0.0 < threshold < 1.0:
-        raise EvaluationError(f"threshold must lie strictly between 0 and 1, got {threshold}")
+        raise EvaluationError(f"threshold {threshold} is not above 0 and below 1")
 
 
 def _is_binary(column: Column) -> Column:
@@ -66,15 +67,18 @@ def _checked(df: DataFrame, label: str, score: str):
         raise EvaluationError(f"label column '{label}' is not numeric")
     truth = quoted(label)
     value, right_width = _score_parts(df, score)
-    facts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(truth.cast("double") == 1.0).alias("positives"),
-        F.count_if(~_is_binary(truth)).alias("labels"),
-        F.count_if(~F.coalesce(right_width, F.lit(False))).alias("widths"),
-        F.count_if(~is_finite(value)).alias("infinite"),
-        F.count_if(is_finite(value) & ~value.between(0.0, 1.0)).alias("outside"),
-        range_edges(F.when(is_finite(value), value), df.sparkSession).alias("edges"),
-    ).first()
+    usable = F.when(is_finite(value), value)
+    checks = {
+        "rows": F.count(F.lit(1)),
+        "positives": F.count_if(truth.cast("double") == 1.0),
+        "labels": F.count_if(~_is_binary(truth)),
+        "widths": F.count_if(~F.coalesce(right_width, F.lit(False))),
+        "infinite": F.count_if(~is_finite(value)),
+        "outside": F.count_if(is_finite(value) & ~value.between(0.0, 1.0)),
+    }
+    cells = df.groupBy(coarse_cell(usable).alias("__cell")).agg(
+        *[count.alias(name) for name, count in checks.items()], *cell_facts(usable)).collect()
+    facts = {name: sum(cell[name] for cell in cells) for name in checks}
     if not facts["rows"]:
         raise EvaluationError("there are no observations")
     for count, problem in (
@@ -85,6 +89,7 @@ def _checked(df: DataFrame, label: str, score: str):
     ):
         if count:
             raise EvaluationError(f"{count} {problem}")
+    facts["edges"] = range_edges(df, usable, cells)
     return truth, value, facts
 
 

@@ -1,8 +1,8 @@
 """Running counts in descending score order, over any number of distinct scores.
 
-A single ordered window would run in one task. Here scores are cut into ranges at
-sketched quantiles; each range is ordered by itself, and a small table of range totals
-supplies what lies above it. The range edges are plain numbers in the plan, so a lost
+A single ordered window would run in one task. Here scores are cut into ranges of similar
+counts; each range is ordered by itself, and a small table of range totals supplies what
+lies above it. The range edges are plain numbers in the plan, so a lost
 task recomputes to the same result without anything being kept in memory.
 """
 
@@ -14,17 +14,50 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabproof.operators.quantile import fine_cell
+
 # Ranges per shuffle partition, so that unequal ranges even out.
 RANGES_PER_PARTITION = 4
-MAX_RANGES = 100_000
 
 
-def range_edges(score: Column, spark) -> Column:
-    """Aggregate expression: quantile edges that cut the rows into similar shares."""
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_PARTITION
-    ranges = max(2, min(ranges, MAX_RANGES))
-    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    return F.percentile_approx(score, shares, F.lit(10 * ranges))
+def cell_facts(score: Column) -> list[Column]:
+    """Aggregate expressions that :func:`range_edges` needs per coarse cell."""
+    return [F.count(score).alias("n"), F.min(score).alias("low"), F.max(score).alias("high")]
+
+
+def range_edges(df: DataFrame, score: Column, cells: list) -> list[float]:
+    """Ascending values that cut the rows into similar shares.
+
+    ``cells`` are rows of :func:`cell_facts` by coarse cell. A cell above the wanted share
+    is counted again in finer cells, until none is left but those of a single value. Counts
+    meet before the shuffle; the driver gets a few numbers per range.
+    """
+    cells = sorted((c["low"], c["high"], c["n"]) for c in cells if c["n"])
+    ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) * RANGES_PER_PARTITION)
+    share = max(1, -(-sum(n for _, _, n in cells) // ranges))
+    while heavy := [c for c in cells if c[2] > share and c[0] < c[1]]:
+        cells = sorted([c for c in cells if c not in set(heavy)] + _finer(df, score, heavy, share))
+    edges, filled = [], 0
+    for low, _, n in cells:
+        if filled and filled + n > share:
+            edges.append(low)
+            filled = 0
+        filled += n
+    return edges
+
+
+def _finer(df: DataFrame, score: Column, heavy: list[tuple], share: int) -> list[tuple]:
+    """Bounds and counts of the finer cells of ``heavy``, at most a few per range."""
+    known = df.sparkSession.createDataFrame(
+        [(float(i + 1), low, high, max(16, 4 * -(-n // share))) for i, (low, high, n) in enumerate(heavy)],
+        "__cell double, __low double, __high double, __parts int")
+    rows = df.select(score.alias("__score")).where(F.col("__score").isNotNull())
+    splits = [-math.inf, *(low for low, _, _ in heavy), math.inf]
+    placed = Bucketizer(splits=splits, inputCol="__score", outputCol="__cell").transform(rows)
+    inside = placed.join(F.broadcast(known), "__cell").where("__score <= __high")
+    part = fine_cell(F.col("__score"), F.col("__low"), F.col("__high"), F.col("__parts"))
+    counted = inside.groupBy("__cell", part.alias("__part")).agg(*cell_facts(F.col("__score")))
+    return [(r["low"], r["high"], r["n"]) for r in counted.collect()]
 
 
 def score_counts(df: DataFrame, label: Column, score: Column, by=()) -> DataFrame:
@@ -56,7 +89,7 @@ def running_counts(counts: DataFrame, edges: list[float] | None, by=()) -> DataF
         F.sum("pos").alias("range_pos"), F.sum("neg").alias("range_neg"),
         F.max_by(F.struct("pos", "neg"), "score").alias("top"),
     )
-    # At most MAX_RANGES rows per group from here to the join.
+    # A row per group and range from here to the join.
     downwards = Window.partitionBy(*by, F.lit(0)).orderBy(F.desc("__range"))
     above = downwards.rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*by, F.lit(0))

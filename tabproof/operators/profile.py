@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabproof.contract import TableContract
-from tabproof.functions.columns import is_numeric, nan_to_null, quoted
+from tabproof.functions.columns import comparable, is_numeric, nan_to_null, quoted, value_text
 
 # Longer texts are compared by their SHA-256, so that documents are not shuffled whole.
 # A digest has exactly this many characters, hence never equals a text kept as it is.
@@ -62,7 +62,9 @@ def _value(field: T.StructField) -> Column:
     if isinstance(kind, T.BinaryType):
         text = F.hex(column)
     elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
-        text = F.when(column.isNotNull(), F.to_json(F.struct(column)))
+        text = F.when(column.isNotNull(), value_text(comparable(column, kind).alias("value")))
+    elif isinstance(kind, T.VariantType):
+        text = F.to_json(column)
     else:
         text = column.cast("string")
     return F.when(F.length(text) >= DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)

@@ -1,182 +1,114 @@
 """Exact medians and modes of many columns, at any size.
 
-Spark's exact ``median`` keeps a value-to-count map of the whole column in one task.
-Here the search for the middle values narrows instead: a quantile sketch proposes two
-table values around the wanted rank, exact counts decide on which side the rank lies,
-and each round leaves well under a thousandth of the rows. Nothing but a few numbers
-per column leaves the executors, and no row is shuffled until few are left.
+Spark's exact ``median`` keeps a value-to-count map of the whole column in one task, and a
+quantile sketch without groups merges what every map task has in one task. Here the search
+for the middle values counts instead: values fall into ordered cells, equal cells meet
+before the shuffle, and the counts tell which cell holds the wanted rank. The next round
+cuts that cell into finer ones. Cells follow sign and magnitude first and are of equal
+width after that, so about six rounds settle any column of doubles; no value is sorted.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabproof.functions.columns import quoted
 
-SKETCH_ACCURACY = 10_000
-# How far around the wanted rank the two proposed values are taken.
-MARGIN = 3.0 / SKETCH_ACCURACY
-# A search that has this many values left is finished by sorting them.
-FINISH_BY_SORTING = 100_000
+# Cells per sign in the first round, some thirty for each doubling, and in later rounds.
+COARSE_CELLS = 1 << 16
+FINE_CELLS = 4096
+
+
+def coarse_cell(value: Column) -> Column:
+    """Number of the cell of a double, ascending with the value."""
+    doublings = F.least(F.log2(F.abs(value)), F.lit(1024.0)) + 1075
+    level = F.floor(doublings * (COARSE_CELLS / 2100)).cast("int") + 1
+    return F.when(value == 0, 0).when(value > 0, level).otherwise(-level)
+
+
+def fine_cell(value: Column, low: Column, high: Column, cells: Column) -> Column:
+    """Number of the equal-width cell of a value between two bounds, ascending with it."""
+    return F.least(F.floor((value - low) / (high - low) * cells), cells - 1).cast("int")
 
 
 @dataclass
 class _Search:
-    """The value at one rank of one column, somewhere strictly between two bounds."""
+    """The value at one rank of one column; ``skipped`` values lie below the bounds."""
 
     position: int
     rank: int
-    inside: int
-    below: int = 0
+    skipped: int = 0
     low: float | None = None
     high: float | None = None
     value: float | None = None
 
-    @property
-    def open(self) -> bool:
-        return self.value is None
-
-    def within(self, value: Column) -> Column:
-        test = value.isNotNull()
-        if self.low is not None:
-            test = test & (value > self.low)
-        if self.high is not None:
-            test = test & (value < self.high)
-        return test
-
-    def settle(self, low, high, counts) -> None:
-        """Take over what exact counts say about the two proposed values."""
-        below_low, to_low, below_high, to_high = counts
-        if below_low <= self.rank < to_low:
-            self.value = low
-        elif below_high <= self.rank < to_high:
-            self.value = high
-        elif self.rank < below_low:
-            self.high, self.inside = low, below_low - self.below
-        elif self.rank >= to_high:
-            self.inside -= to_high - self.below
-            self.low, self.below = high, to_high
-        else:
-            self.low, self.high = low, high
-            self.below, self.inside = to_low, below_high - to_low
-
-
-def median_facts(columns: list[str]) -> Column:
-    """Aggregate expression: per column its count and two values around the middle."""
-    around = F.array(F.lit(0.5 - MARGIN), F.lit(0.5 + MARGIN))
-    return F.array(*[
-        F.struct(
-            F.count(quoted(c)).alias("n"),
-            F.percentile_approx(quoted(c).cast("double"), around, F.lit(SKETCH_ACCURACY))
-            .alias("proposal"),
-        )
-        for c in columns
-    ])
-
-
-def exact_medians(
-    df: DataFrame, columns: list[str], finish_by_sorting: int = FINISH_BY_SORTING, facts=None,
-) -> list[float | None]:
+    def cell(self, value: Column) -> Column:
+        """Cell of a value, null outside the bounds."""
+        there = value.isNotNull() & ~F.isnan(value)
+        if self.low is None:
+            return F.when(there, coarse_cell(value))
+        low, high = F.lit(self.low), F.lit(self.high)
+        return F.when(there & value.between(low, high),
+                      fine_cell(value, low, high, F.lit(FINE_CELLS)))
+
+    def settle(self, cells) -> None:
+        """Go into the cell that holds the rank; ``cells`` ascend."""
+        for cell in cells:
+            if self.rank < self.skipped + cell["n"]:
+                self.low, self.high = cell["low"], cell["high"]
+                if self.low == self.high or cell["n"] == 2:
+                    # Two values at most, so their order is known.
+                    value = self.low if self.rank == self.skipped else self.high
+                    self.value = value + 0.0
+                return
+            self.skipped += cell["n"]
+
+
+def exact_medians(df: DataFrame, columns: list[str]) -> list[float | None]:
     """Median of each column over its non-null values; None for a column without any.
 
-    With an even number of values it is the mean of the two middle ones. ``facts`` is
-    the value of :func:`median_facts`, when the caller has computed it along the way.
+    With an even number of values it is the mean of the two middle ones. A round is one
+    scan for all columns; the driver gets the cells that have values, a bounded number.
     """
     if not columns:
         return []
-    if facts is None:
-        facts = df.agg(median_facts(columns)).first()[0]
     df = df.select([quoted(name).cast("double").alias(f"v{i}") for i, name in enumerate(columns)])
-    values = [F.col(f"v{i}") for i in range(len(columns))]
     searches = []
-    for i, fact in enumerate(facts):
-        n = fact["n"]
-        ranks = sorted({(n - 1) // 2, n // 2}) if n else []
-        searches += [_Search(i, rank, n) for rank in ranks]
-
-    def active():
-        return [s for s in searches if s.open and s.inside > finish_by_sorting]
-
-    if active():
-        groups = _by_bounds(active())
-        _settle(df, values, groups, [facts[position]["proposal"] for position, _, _ in groups])
-    while active():
-        groups = _by_bounds(active())
-        _settle(df, values, groups, _propose(df, values, groups))
-    rest = [s for s in searches if s.open]
-    if rest:
-        _finish(df, values, rest)
-
+    groups = {(i, None, None): _Search(i, 0) for i in range(len(columns))}
+    counted = _count(df, groups)
+    for i in range(len(columns)):
+        n = sum(cell["n"] for cell in counted.get((i, None, None), ()))
+        searches += [_Search(i, rank) for rank in (sorted({(n - 1) // 2, n // 2}) if n else [])]
+    while open_searches := [s for s in searches if s.value is None]:
+        # The two middle ranks of a column share their work until their bounds part.
+        groups = {(s.position, s.low, s.high): s for s in open_searches}
+        if counted is None:
+            counted = _count(df, groups)
+        for s in open_searches:
+            s.settle(counted[s.position, s.low, s.high])
+        counted = None
     found = [[s.value for s in searches if s.position == i] for i in range(len(columns))]
     return [sum(middle) / len(middle) if middle else None for middle in found]
 
 
-def _by_bounds(searches) -> dict:
-    """The two middle ranks of a column share their work until their bounds part."""
-    shared = {}
-    for s in searches:
-        shared.setdefault((s.position, s.low, s.high), []).append(s)
-    return shared
-
-
-def _propose(df, values, groups) -> list:
-    """Two values around the wanted ranks of each group, from one sketching pass."""
-    sketches = []
-    for group in groups.values():
-        first, last = group[0], group[-1]
-        low = (first.rank - first.below) / first.inside - MARGIN
-        high = (last.rank - last.below + 1) / last.inside + MARGIN
-        around = F.array(F.lit(max(0.0, low)), F.lit(min(1.0, high)))
-        value = values[first.position]
-        sketches.append(F.percentile_approx(
-            F.when(first.within(value), value), around, F.lit(SKETCH_ACCURACY)))
-    return list(df.agg(*sketches).first())
-
-
-def _settle(df, values, groups, proposals) -> None:
-    """Count exactly around the proposals, in one pass for all groups."""
-    counters = []
-    for (position, _, _), (low, high) in zip(groups, proposals):
-        value = values[position]
-        counters.append(F.array(
-            F.count_if(value < low), F.count_if(value <= low),
-            F.count_if(value < high), F.count_if(value <= high),
-        ))
-    counted = df.agg(*counters).first()
-    for group, (low, high), counts in zip(groups.values(), proposals, counted):
-        for s in group:
-            s.settle(low, high, counts)
-
-
-def _finish(df, values, rest) -> None:
-    """Sort what is left between the bounds; the caller keeps every group small."""
-    groups = list(_by_bounds(rest).values())
-    cells = F.array_compact(F.array(*[
-        F.when(group[0].within(values[group[0].position]),
-               F.struct(F.lit(i).alias("g"), values[group[0].position].alias("value")))
-        for i, group in enumerate(groups)
-    ]))
-    counted = df.select(F.inline(cells)).groupBy("g", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("g").orderBy("value"))
-
-    def wanted(pick):
-        ranks = F.array(*[F.lit(pick(group).rank - pick(group).below) for group in groups])
-        rank = F.element_at(ranks, F.col("g") + 1)
-        return (F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)
-
-    hits = counted.withColumn("upto", upto).select(
-        "g", "value",
-        wanted(lambda group: group[0]).alias("first"), wanted(lambda group: group[-1]).alias("last"),
-    ).where("first or last")
-    for row in hits.collect():
-        group = groups[row["g"]]
-        if row["first"]:
-            group[0].value = row["value"]
-        if row["last"]:
-            group[-1].value = row["value"]
+def _count(df: DataFrame, groups: dict) -> dict:
+    """Per group its cells in ascending order, with count, minimum and maximum."""
+    records = []
+    for number, (key, search) in enumerate(groups.items()):
+        value = F.col(f"v{key[0]}")
+        cell = search.cell(value)
+        records.append(F.when(cell.isNotNull(), F.struct(
+            F.lit(number).alias("g"), cell.alias("cell"), value.alias("value"))))
+    counted = df.select(F.inline(F.array_compact(F.array(*records)))).groupBy("g", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    keys = list(groups)
+    found: dict = {}
+    for row in sorted(counted.collect(), key=lambda r: (r["g"], r["cell"])):
+        found.setdefault(keys[row["g"]], []).append(row)
+    return found
 
 
 def exact_modes(df: DataFrame, columns: list[str]) -> list[float | None]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabproof.contract import TableContract
 from tabproof.errors import InvalidTableError
-from tabproof.functions.columns import json_text, number_text
+from tabproof.functions.columns import distinct_names, json_text, number_text
 from tabproof.operators.duplicates import duplicate_rows
 from tabproof.operators.findings import (
     ERROR, SCHEMA, WARNING, finding_counts, finding_text, table_findings,
@@ -144,8 +144,11 @@ def validate(
     df: DataFrame, contract: TableContract, source: str | None = None,
     distinct: str | None = "exact",
 ) -> QualityReport:
-    """Check a table against its contract. Never raises for a data fault."""
-    return QualityReport(df, contract, source, distinct)
+    """Check a table against its contract. Never raises for a data fault.
+
+    Columns after the first of a name are reported as ``name#2`` and so on.
+    """
+    return QualityReport(distinct_names(df), contract, source, distinct)
 
 
 def require_valid(df: DataFrame, contract: TableContract, source: str | None = None) -> DataFrame:
