@@ -40,7 +40,7 @@ class PreparationError(TabproofError):
     """Feature preparation cannot be carried out."""
 
 
-class FeatureContractError(PreparationError):
+class FeatureInputError(PreparationError):
     """The frame does not carry the features the contract asks for."""
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabproof.errors import FeatureContractError
+from tabproof.errors import FeatureInputError
 from tabproof.functions.columns import is_numeric, quoted
 
 
@@ -22,7 +22,7 @@ def align_records(df: DataFrame, column: str, features: list[str]) -> DataFrame:
     if isinstance(kind, T.StructType):
         absent = [name for name in features if name not in kind.names]
         if absent:
-            raise FeatureContractError(f"missing required feature column(s): {absent}")
+            raise FeatureInputError(f"the record column lacks {absent}")
         return df.select(*others, *[record.getField(name).alias(name) for name in features])
     if isinstance(kind, T.ArrayType) and is_numeric(kind.elementType):
         right = F.size(record) == len(features)
@@ -34,11 +34,11 @@ def align_records(df: DataFrame, column: str, features: list[str]) -> DataFrame:
         wanted = F.array(*[F.lit(name) for name in features])
         right = F.size(F.array_except(wanted, keys)) == 0
         problem = F.concat(
-            F.lit("missing required feature key(s): "),
+            F.lit("the record lacks key(s): "),
             F.array_join(F.array_except(wanted, keys), ", "))
         values = [F.try_element_at(record, F.lit(name)) for name in features]
     else:
-        raise FeatureContractError(f"cannot align a column of type {kind.simpleString()}")
+        raise FeatureInputError(f"cannot align a column of type {kind.simpleString()}")
     return df.select(*others, *[
         F.when(right, value).otherwise(F.raise_error(problem)).cast("double").alias(name)
         for name, value in zip(features, values)

@@ -77,6 +77,7 @@ def _fit(train, contract, spec, plan, row_id, threshold, source, digest) -> Trai
     pipeline = build_training(
         contract, estimator, scaling=spec.scaling, passthrough=kept).fit(train)
     fitted = describe_preparation(train.sparkSession, pipeline)
+    # The names of the record's entries.
     metadata = {
         "model_name": spec.name,
         "dataset_path": source or "<in-memory DataFrame>",
@@ -88,7 +89,7 @@ def _fit(train, contract, spec, plan, row_id, threshold, source, digest) -> Trai
         "test_size": plan.realised_test_size,
         "decision_threshold": threshold,
         "preprocessing": [row.asDict() for row in fitted.orderBy("position").collect()],
-        "model_configuration": spec.as_dict(),
+        "model_configuration": spec.record(),
         "created_at": datetime.now(timezone.utc).isoformat(timespec="seconds"),
         "project_version": __version__,
         "train_size": plan.train_rows,
@@ -180,10 +181,9 @@ def evaluate_models(models: list[TrainedModel], df: DataFrame) -> DataFrame:
             scored.unpersist()
     if not parts:
         raise EvaluationError("there is no model to evaluate")
-    sizes = F.create_map(*[
-        F.lit(x) for m in models for x in (m.name, m.metadata["train_size"])])
+    sizes = F.array(*[F.lit(m.metadata["train_size"]) for m in models])
     return reduce(DataFrame.unionByName, parts).withColumn(
-        "n_train", F.element_at(sizes, F.col("model"))).withColumn("n_test", F.col("n_samples"))
+        "n_train", F.element_at(sizes, F.col("ordinal") + 1)).withColumn("n_test", F.col("n_samples"))
 
 
 def save_model(model: TrainedModel, path: str) -> None:

@@ -52,7 +52,8 @@ def file_manifest(spark: SparkSession, path: str, digest: bool = True) -> DataFr
 def fingerprint(spark: SparkSession, path: str) -> str:
     """SHA-256 of a file; of a folder, the digest of its sorted per-file digests.
 
-    Empty when the content cannot be read.
+    Empty when nothing can be opened there; any other failure raises, a file above the
+    2 GB of Spark's binary reader among them.
     """
     try:
         digests = file_manifest(spark, path).agg(
@@ -62,8 +63,12 @@ def fingerprint(spark: SparkSession, path: str) -> str:
             .when(F.col("n") > 1, F.sha2(F.array_join("all", "\n"), 256))
             .otherwise(F.lit("")).alias("digest")
         ).first()["digest"]
-    except (PySparkException, Py4JJavaError):
-        return ""
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return ""
+        raise SourceReadError(path, str(error)) from error
+    except (PySparkException, Py4JJavaError) as error:
+        raise SourceReadError(path, f"no digest of the content: {error}") from error
 
 
 def _check_location(spark, path) -> None:

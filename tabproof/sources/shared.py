@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
@@ -27,3 +27,13 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder and not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written below the shared folder and read back; gone when the session ends."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, purpose)
+    df.write.parquet(folder)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)

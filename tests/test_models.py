@@ -17,23 +17,21 @@ from tabproof.plans.training import (
 
 @pytest.fixture(scope="module")
 def modelling(spark, contract):
-    """300 seeded rows with placeholder zeros and a learnable signal."""
-    rng = np.random.default_rng(20240501)
-    n = 300
-    glucose, insulin = rng.normal(120, 30, n), rng.normal(120, 45, n)
-    columns = {
-        "Pregnancies": rng.integers(0, 10, n),
-        "Glucose": np.where(rng.random(n) < .2, 0, glucose),
-        "BloodPressure": rng.normal(72, 12, n),
-        "SkinThickness": np.where(rng.random(n) < .3, 0, rng.normal(30, 8, n)),
-        "Insulin": np.where(rng.random(n) < .4, 0, insulin),
-        "BMI": rng.normal(32, 7, n),
-        "DiabetesPedigreeFunction": rng.gamma(2, .25, n),
-        "Age": rng.integers(21, 70, n),
-    }
-    y = columns["Glucose"] + .15 * columns["Insulin"] + rng.normal(0, 25, n) > 145
-    rows = [
-        (i, *[float(max(0, c[i])) for c in columns.values()], int(y[i])) for i in range(n)]
+    """300 rows whose outcome leans on age and two measurements; some are not recorded."""
+    rng = np.random.default_rng(77)
+    rows = []
+    for i in range(300):
+        age, visits = int(rng.integers(20, 80)), int(rng.poisson(3))
+        sugar, fat = rng.uniform(70, 190), rng.uniform(18, 45)
+        values = dict(
+            Pregnancies=visits, Glucose=sugar, BloodPressure=rng.uniform(50, 100),
+            SkinThickness=rng.uniform(10, 50), Insulin=rng.exponential(100), BMI=fat,
+            DiabetesPedigreeFunction=rng.uniform(0.1, 1.2), Age=age)
+        ill = 0.03 * (sugar - 120) + 0.05 * (age - 45) + 0.04 * (fat - 30) + rng.logistic() > 0.5
+        for name, share in (("Glucose", 0.1), ("SkinThickness", 0.25), ("Insulin", 0.3)):
+            if rng.random() < share:
+                values[name] = 0
+        rows.append((i, *[float(values[n]) for n in contract.feature_names], int(ill)))
     names = contract.feature_names
     return spark.createDataFrame(
         rows, "row int, " + ", ".join(f"{c} double" for c in names) + ", Outcome bigint")
@@ -62,7 +60,7 @@ def test_registry():
         spec.hyperparameters["trees"] = 1
     with pytest.raises(UnknownModelError, match="xgboost"):
         get_spec("xgboost")
-    assert json.dumps(spec.as_dict())
+    assert json.dumps(spec.record())
 
 
 def test_probabilities_and_predictions(linear):

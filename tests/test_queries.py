@@ -45,22 +45,18 @@ def test_every_sql_has_a_query():
 
 
 def test_unchecked_queries_are_the_known_ones():
-    """No SQL can state what a learner fits or what bytes a file holds."""
-    assert set(registry.queries()) - set(registry.oracle_sql()) == {
-        "file_manifest", "train_logistic_regression", "train_random_forest",
-        "train_gradient_boosted_trees", "evaluate_logistic_regression", "experiment_metadata",
-        "baseline_comparison"}
+    """No SQL can state what bytes a file holds; the text operators have tests of their own."""
+    unchecked = set(registry.queries()) - set(registry.oracle_sql())
+    assert {n for n in unchecked if not n.startswith("op") and n != "pipeline"} == {"file_manifest"}
 
 
-def test_manifest_and_models_run(spark):
+def test_manifest(spark):
     import hashlib
 
     row = registry.queries()["file_manifest"](spark, SF_DIR).first()
     with open(f"{SF_DIR}/lineitem.parquet", "rb") as file:
         content = file.read()
     assert (row["length"], row["sha256"]) == (len(content), hashlib.sha256(content).hexdigest())
-    metrics = registry.queries()["evaluate_logistic_regression"](spark, SF_DIR).first()
-    assert metrics["n_train"] + metrics["n_test"] == 87
 
 
 def test_entry(spark):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tabproof.operators.prepare import (
-    FeatureContract, ZeroToMissing, describe_preparation, fit_preparation,
+    FeatureColumns, ZeroToMissing, describe_preparation, fit_preparation,
 )
 from tabproof.operators.records import align_records
 from tabproof.operators.split import (
@@ -28,7 +28,7 @@ def _rounded(df, names, digits=6):
 
 
 def contract_projection(spark, sf_dir):
-    stage = FeatureContract(columns=FEATURES, passthrough=KEYS)
+    stage = FeatureColumns(columns=FEATURES, passthrough=KEYS)
     return stage.transform(lineitem(spark, sf_dir))
 
 

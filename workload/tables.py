@@ -134,3 +134,24 @@ def labelled_documents(spark, sf_dir):
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return documents.join(labels, "doc_id")
+
+
+LABELLED_SQL = """
+    SELECT doc_id, quality FROM documents JOIN labels USING (doc_id)
+"""
+# Held-out rows: ceil(n * 0.2); train quotas by largest remainder, ties to the smaller class.
+LABELLED_SPLIT_SQL = f"""
+    WITH d AS ({LABELLED_SQL}),
+    h AS (SELECT *, row_number() OVER (
+              PARTITION BY quality ORDER BY md5('42:' || doc_id), doc_id) AS r FROM d),
+    c AS (SELECT quality, count(*) AS n FROM d GROUP BY quality),
+    t AS (SELECT sum(n)::BIGINT AS rows,
+                 (sum(n) - ceil(sum(n)::DOUBLE * CAST(0.2 AS DOUBLE)))::BIGINT AS train FROM c),
+    q AS (SELECT quality, n, (train * n) // rows AS base,
+                 row_number() OVER (ORDER BY (train * n) % rows DESC, quality) AS pick,
+                 train - sum((train * n) // rows) OVER () AS spare
+          FROM c, t),
+    k AS (SELECT quality, n - base - CASE WHEN pick <= spare THEN 1 ELSE 0 END AS held_out FROM q)
+    SELECT h.doc_id, h.quality, CASE WHEN h.r <= k.held_out THEN 'test' ELSE 'train' END AS partition
+    FROM h JOIN k USING (quality)
+"""
