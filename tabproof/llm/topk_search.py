@@ -4,10 +4,11 @@ Document counts and lengths of the whole table give every shard the same weights
 is an inverted index of some thousand documents, built and searched in one task, past which
 the queries stream in batches. Documents of a shard are ordered so that blocks hold like
 texts (same most frequent term, like length), and every frequent term has its largest
-impact per block. For a query, the rare terms' postings are added up, the block maxima of
-the frequent terms are put on top, and that upper bound orders the documents. They are
-scored in full from the highest bound down, until the next bound lies below the k-th best
-score. The shards' results are merged by score.
+impact per block. For a query, the rare terms' postings are added up and the block maxima
+of the frequent terms are put on top. Blocks are taken from the highest bound down: the
+frequent terms' own impacts replace the maxima, and the k-th best document so far is the
+threshold that ends the search and leaves out the rest. The documents that remain are
+scored in full. The shards' results are merged by score.
 """
 
 from __future__ import annotations
@@ -26,18 +27,20 @@ from tabproof.llm.spool import spool
 
 K1, B = 1.2, 0.75
 TOP = 10
-#: Documents of a shard, on average, and of a block; documents scored in one step.
+#: Documents of a shard, on average, and of a block; blocks looked at in one step.
 SHARD_DOCS = 16_384
 BLOCK = 32
 STEP = 32
-#: Terms in more than this share of a shard's documents count as frequent there.
-FREQUENT = 1 / 32
+#: The terms with the most documents of a shard that get block maxima there, and the least
+#: share of documents they are in. All other terms are added up from their postings.
+FREQUENT_TERMS = 1024
+FREQUENT = 1 / 128
 #: Distinct terms of documents that are counted together in a task.
 COUNTED = 4_000_000
 
 _TERM = re.compile(r"\w+")
-#: Upper bounds and scores are sums in different order, so they may differ by this share.
-_SLACK = 1e-9
+#: Bounds are sums of 32-bit numbers in another order, so they may be off by this share.
+_SLACK = 1e-4
 
 
 def terms_of(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
@@ -73,13 +76,16 @@ class Shard:
         self.post_starts = np.searchsorted(self.codes[by_term], np.arange(len(self.terms) + 1))
         self.blocks = -(-len(bags) // BLOCK)
         sizes = np.diff(self.post_starts)
-        frequent = np.flatnonzero(sizes > FREQUENT * len(bags))
+        often = np.argsort(-sizes, kind="stable")[:FREQUENT_TERMS]
+        often = often[sizes[often] > FREQUENT * len(bags)]
         self.row = np.full(len(self.terms), -1, np.int32)
-        self.row[frequent] = np.arange(len(frequent))
-        self.maxima = np.zeros((len(frequent), self.blocks))
-        for row, term in enumerate(frequent):
+        self.row[often] = np.arange(len(often))
+        self.own = np.zeros((len(often), self.blocks * BLOCK), np.float32)
+        for row, term in enumerate(often):
             part = slice(self.post_starts[term], self.post_starts[term + 1])
-            np.maximum.at(self.maxima[row], self.post_docs[part] // BLOCK, self.post_impacts[part])
+            self.own[row, self.post_docs[part]] = self.post_impacts[part]
+        self.own = self.own.reshape(len(often), self.blocks, BLOCK)
+        self.maxima = self.own.max(2) if len(often) else np.zeros((0, self.blocks), np.float32)
         self.weights = np.zeros(len(self.terms))
 
     def _exact(self, docs: np.ndarray) -> np.ndarray:
@@ -105,48 +111,47 @@ class Shard:
             return []
         self.weights[codes] = weights
         rows = self.row[codes]
-        rare = np.flatnonzero(rows < 0)
+        rare = rows < 0
+        often, often_weights = rows[~rare], weights[~rare].astype(np.float32)
         begins, stops = self.post_starts[codes[rare]], self.post_starts[codes[rare] + 1]
         sizes = stops - begins
         ends = np.cumsum(sizes)
         place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
-        bound = np.bincount(self.post_docs[place], np.repeat(weights[rare], sizes) * self.post_impacts[place],
-                            minlength=len(self.ids)).astype(float)
-        often = rows >= 0
-        if often.any():
-            over = weights[often] @ self.maxima[rows[often]]
-            bound += np.repeat(over, BLOCK)[:len(bound)]
-        best: list[tuple[float, int]] = []
-        worst = 0.0
-        live = np.flatnonzero(bound > 0)
-        # The first steps need the highest bounds only; most others never get their turn.
-        ready = np.empty(0, np.int64)
-        if len(live) > 8 * STEP:
-            top = np.argpartition(-bound[live], 8 * STEP)
-            ready, live = live[top[:8 * STEP]], live[top[8 * STEP:]]
-        else:
-            ready, live = live, ready
-        while len(ready) or len(live):
-            if not len(ready):
-                live = live[bound[live] * (1 + _SLACK) >= worst]
-                ready, live = live, np.empty(0, np.int64)
-                if not len(ready):
-                    break
-            ready = ready[np.argsort(-bound[ready], kind="stable")]
-            for start in range(0, len(ready), STEP):
-                step = ready[start:start + STEP]
-                if len(best) >= k and bound[step[0]] * (1 + _SLACK) < worst:
-                    break
-                best += [(s, d) for s, d in zip(self._exact(step).tolist(), step.tolist(), strict=True)
-                         if s > 0 and (len(best) < k or s >= worst)]
-                if len(best) > k:
-                    best.sort(key=lambda x: (-x[0], self.ids[x[1]] is None, self.ids[x[1]]))
-                    del best[k:]
-                worst = min(s for s, _ in best) if len(best) >= k else 0.0
-            ready = np.empty(0, np.int64)
-        self.weights[codes] = 0
+        found = np.zeros((self.blocks, BLOCK))
+        found.reshape(-1)[:len(self.ids)] = np.bincount(
+            self.post_docs[place], np.repeat(weights[rare], sizes) * self.post_impacts[place], len(self.ids))
+        over = often_weights @ self.maxima[often]
+        highest = found.max(1) + over
+        # Blocks from the highest bound down, until it lies below the k-th best document.
+        order = np.argsort(-highest, kind="stable")
+        order = order[highest[order] > 0]
+        docs, bounds, worst = np.empty(0, np.int64), np.empty(0), 0.0
+        for start in range(0, len(order), STEP):
+            step = order[start:start + STEP]
+            step = step[highest[step] * (1 + _SLACK) >= worst]
+            if not len(step):
+                break
+            more, of_more = self._bounds(step, found, often, often_weights)
+            keep = (of_more > 0) & (of_more * (1 + _SLACK) >= worst)
+            docs, bounds = np.concatenate([docs, more[keep]]), np.concatenate([bounds, of_more[keep]])
+            if len(bounds) >= k:
+                worst = float(np.partition(bounds, len(bounds) - k)[len(bounds) - k]) * (1 - _SLACK)
+                docs, bounds = (x[bounds * (1 + _SLACK) >= worst] for x in (docs, bounds))
+        # What is left holds the k best; their full scores decide.
+        best = [(s, d) for s, d in zip(self._exact(docs).tolist(), docs.tolist(), strict=True) if s > 0]
         best.sort(key=lambda x: (-x[0], self.ids[x[1]] is None, self.ids[x[1]]))
-        return [(s, self.ids[d]) for s, d in best]
+        self.weights[codes] = 0
+        return [(s, self.ids[d]) for s, d in best[:k]]
+
+    def _bounds(self, blocks, found, often, weights) -> tuple[np.ndarray, np.ndarray]:
+        """Documents of the blocks, and their scores up to rounding."""
+        docs = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+        bounds = found[blocks].reshape(-1)
+        if len(often) and len(blocks):
+            own = self.own[often[:, None], blocks].reshape(len(often), -1)
+            bounds = bounds + weights @ own
+        inside = docs < len(self.ids)
+        return docs[inside], bounds[inside]
 
 
 def _term_counts(docs: DataFrame) -> DataFrame:
