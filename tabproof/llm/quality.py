@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tabproof.llm.spool import spool
 
-#: Documents that the scorer is fitted on, at most: those whose id has the smallest hash.
+#: Documents that the scorer is fitted on: as many on average, twice as many at most.
 FIT_ROWS = 10_000
 #: Hashed features.
 BUCKETS = 1024
@@ -218,7 +218,7 @@ def vote_patterns(docs: DataFrame) -> DataFrame:
 
 
 def train_scorer(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Scorer, LabelModel]:
-    """Label model of all rows and the scorer fitted on at most ``fit_rows`` of them.
+    """Label model of all rows and the scorer fitted on about ``fit_rows`` of them.
 
     The driver gets the counts of vote patterns, of which there are 3^9 at most, and the
     coefficients. A table without good or without bad texts gives a constant scorer.
@@ -239,9 +239,11 @@ def train_scorer(docs: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Scorer, Lab
                 [pa.array(labels), pa.array(weights), pa.array(vectors, pa.list_(pa.float64()))],
                 ["label", "weight", "features"])
 
-    ids = F.xxhash64(F.col("doc_id"), F.lit("fit"))
-    with_words = docs.where(F.col("text").rlike(r"\S"))
-    chosen = with_words.select(ids.alias("draw"), "text").orderBy("draw").limit(fit_rows).select("text")
+    # A draw per id picks the share of documents that comes to the bound; the limit holds
+    # where one id is repeated without end.
+    share = min(1.0, fit_rows / max(sum(patterns.values()), 1))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(2**32)) / F.lit(float(2**32))
+    chosen = docs.where((draw < share) & F.col("text").rlike(r"\S")).select("text").limit(2 * fit_rows)
     rows = spool(
         chosen.repartition(8).mapInArrow(labelled, "label double, weight double, features array<double>"),
         "quality-fit").where("weight > 0")
