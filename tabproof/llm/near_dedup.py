@@ -9,9 +9,11 @@ in the order of time and nothing is drawn after all registers are full.
 
 Texts with equal multisets are one node from the start, told by a 128-bit digest. Nodes
 that agree in a band of four registers are candidates. In every bucket each node is paired
-with the bucket's first, signatures sort out what is far below the threshold, and texts
-decide. Where a bucket still holds unconnected nodes after that, those are compared with
-each other too, in blocks. Classes are the connected components of the verified pairs.
+with the bucket's most central one, that is the one whose buckets are the largest: the
+text that others were copied from agrees with each of them more often than they do among
+themselves. Signatures sort out what is far below the threshold, and texts decide. Where a
+bucket still holds unconnected nodes after that, those are compared with each other too,
+in blocks that give out no more than the links they find. Classes are the connected components of the verified pairs.
 """
 
 from __future__ import annotations
@@ -32,11 +34,9 @@ REGISTERS = 128
 BAND = 4
 #: Similarity as a fraction, so that the comparison is exact: 4/5.
 SIMILAR = (4, 5)
-#: Share of agreeing registers below which a pair is left out: 5.6 standard deviations
+#: Share of agreeing registers below which a pair is left out: four standard deviations
 #: under the threshold.
-LEAST_AGREEING = 0.6
-#: From here on a pair is taken to be similar when the order of checks is chosen.
-LIKELY = 0.86
+LEAST_AGREEING = 0.66
 #: Shingles drawn together, and unconnected nodes of a bucket compared in one block. Both
 #: bound memory and change no result.
 CHUNK = 400_000
@@ -152,9 +152,15 @@ def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return SIMILAR[1] * shared >= SIMILAR[0] * (int(a[1].sum()) + int(b[1].sum()) - shared)
 
 
+def _band_keys(marks: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band of signatures of 16 bits per register."""
+    bands = np.ascontiguousarray(marks).view("<u8").astype(np.uint64)
+    return _mix(bands + np.arange(bands.shape[1], dtype=np.uint64) * _GOLDEN).view(np.int64)
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, near, marks, bands``; the last three only at the first row of a
-    digest in a task. ``near`` is the head of the digest, ``marks`` 16 bits per register."""
+    """``doc_id, digest, near, marks``; the last two only at the first row of a digest in a
+    task. ``near`` is the head of the digest, ``marks`` holds 16 bits per register."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -168,29 +174,50 @@ def _sketches(docs: DataFrame) -> DataFrame:
                     seen.add(digest)
                     bags.append(bag)
                     at.append(i)
-            signed = signatures(bags)
-            marks = (signed & _U(0xFFFF)).astype("<u2")
-            bands = signed.reshape(len(bags), REGISTERS // BAND, BAND)
-            keys = np.zeros(bands.shape[:2], np.uint64)
-            keys += np.arange(bands.shape[1], dtype=np.uint64)
-            for i in range(BAND):
-                keys = _mix(keys * _GOLDEN + bands[:, :, i])
-            keys = keys.view(np.int64)
-            near, mark_column, key_column = ([None] * len(digests) for _ in range(3))
+            marks = (signatures(bags) & _U(0xFFFF)).astype("<u2")
+            near, column = [None] * len(digests), [None] * len(digests)
             for row, i in enumerate(at):
                 near[i] = int.from_bytes(digests[i][:8], "little", signed=True)
-                mark_column[i] = marks[row].tobytes()
-                key_column[i] = keys[row]
+                column[i] = marks[row].tobytes()
             if len(seen) > 1_000_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(near, pa.int64()),
-                 pa.array(mark_column, pa.binary()), pa.array(key_column, pa.list_(pa.int64()))],
-                ["doc_id", "digest", "near", "marks", "bands"])
+                 pa.array(column, pa.binary())], ["doc_id", "digest", "near", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {kind}, digest binary, near bigint, marks binary, bands array<bigint>")
+        run, f"doc_id {kind}, digest binary, near bigint, marks binary")
+
+
+def _keys(nodes: DataFrame) -> DataFrame:
+    """``near, key``: a row for each node and band."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u2").reshape(-1, REGISTERS)
+            near = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(near, REGISTERS // BAND)), pa.array(_band_keys(marks).reshape(-1))],
+                ["near", "key"])
+
+    return nodes.select("near", "marks").mapInArrow(run, "near bigint, key bigint")
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """``key, near, pivot``: members of the buckets with several nodes, and the central one."""
+    keys = _keys(nodes)
+    shared = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("near").alias("low"), F.max("near").alias("high"))
+    shared = shared.where("low != high").select(F.col("key").alias("of_key"), "n")
+    members = spool(keys.join(shared, F.col("key") == F.col("of_key")).select("key", "near", "n"),
+                    "near-members")
+    central = members.groupBy(F.col("near").alias("of_near")).agg(F.sum("n").alias("weight"))
+    weighed = members.join(central, F.col("near") == F.col("of_near")).select("key", "near", "weight")
+    pivots = weighed.groupBy(F.col("key").alias("of_key")).agg(
+        F.max_by("near", F.struct("weight", "near")).alias("pivot"))
+    return spool(members.join(pivots, F.col("key") == F.col("of_key")).select("key", "near", "pivot"),
+                 "near-buckets")
 
 
 def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -256,47 +283,91 @@ def _texts_of(docs: DataFrame, digests: DataFrame) -> DataFrame:
     return every.join(digests, "digest", "left_semi").dropDuplicates(["digest"])
 
 
-def _cross_pairs(buckets: DataFrame, components: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Heads ``a_near, b_near`` of likely pairs inside a bucket that no link connects."""
-    own = nodes.select("near", "digest", "marks")
-    placed = buckets.where("near != pivot").join(own, "near").join(
-        components.select(F.col("node").alias("digest"), "component"), "digest", "left").select(
-        "key", "near", "marks", F.coalesce("component", "digest").alias("component"))
+class _Joined:
+    """Which of the given groups have become one."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (above := self.parent.get(x, x)) != x:
+            self.parent[x] = self.parent.get(above, above)
+            x = above
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        self.parent[self.find(a)] = self.find(b)
+
+
+def _block_links(key: int, rows: list[tuple], hashes: WordHashes) -> list[tuple[bytes, bytes]]:
+    """Links between the two parts of a block that join what no link joins yet.
+
+    Pairs go from the most to the least similar signatures, so that most of them are joined
+    before their turn and only the others are compared word by word.
+    """
+    part = np.array([r[0] for r in rows])
+    digests, texts = [r[1] for r in rows], [r[4] for r in rows]
+    component = np.array([r[2] for r in rows], np.int64)
+    marks = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(-1, REGISTERS)
+    band = int((_band_keys(marks[:1])[0] == key).argmax())
+    left, right = np.flatnonzero(part == part.min()), np.flatnonzero(part == part.max())
+    found = []
+    for i in left:
+        there = right[component[right] != component[i]]
+        if part.min() == part.max():
+            there = there[there > i]
+        equal = marks[there] == marks[i]
+        agreeing = equal.mean(1)
+        keep = agreeing >= LEAST_AGREEING
+        there, equal, agreeing = there[keep], equal[keep], agreeing[keep]
+        # A pair shares many buckets; it is looked at in the first of them.
+        keep = equal.reshape(len(there), REGISTERS // BAND, BAND).all(2).argmax(1) == band
+        found.append(np.stack([np.full(keep.sum(), i), there[keep], -1000 * agreeing[keep]], 1).astype(np.int64))
+    pairs = np.concatenate(found) if found else np.empty((0, 3), np.int64)
+    bags: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    joined, links = _Joined(), []
+    for i, j, _ in pairs[np.argsort(pairs[:, 2], kind="stable")].tolist():
+        a, b = int(component[i]), int(component[j])
+        if digests[i] == digests[j] or joined.find(a) == joined.find(b):
+            continue
+        for x in (i, j):
+            if x not in bags:
+                bags[x] = shingles(texts[x], hashes)
+        if similar(bags[i], bags[j]):
+            joined.join(a, b)
+            links.append((min(digests[i], digests[j]), max(digests[i], digests[j])))
+    return links
+
+
+def _crossing_links(buckets: DataFrame, components: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b``: links inside buckets between what the links so far leave apart."""
+    placed = nodes.select("near", "digest").join(
+        components.select(F.col("node").alias("digest"), "component"), "digest").select(
+        F.col("near").alias("of_near"), F.xxhash64("component").alias("component")).distinct()
+    # Pairs with the pivot have been looked at.
+    placed = buckets.where("near != pivot").join(placed, F.col("near") == F.col("of_near"), "left").select(
+        "key", "near", F.coalesce("component", F.xxhash64("near")).alias("component"))
+    placed = spool(placed, "near-placed")
     open_ = placed.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
     open_ = open_.where("low != high").select(
         F.col("key").alias("of_key"), F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
-    part = F.pmod(F.hash("near"), F.col("parts"))
-    members = placed.join(open_, F.col("key") == F.col("of_key")).withColumn("part", part)
+    members = placed.join(open_, F.col("key") == F.col("of_key")).drop("of_key")
+    own = nodes.select("near", "digest", "marks").join(texts, "digest").select(
+        F.col("near").alias("of_near"), "digest", "marks", "text")
+    members = members.join(own, F.col("near") == F.col("of_near"))
+    members = members.withColumn("part", F.pmod(F.hash("near"), F.col("parts")))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-        "part", "near", "component", "marks")
-
-    def compare(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        part = np.array([r[0] for r in rows])
-        near = np.array([r[1] for r in rows], np.int64)
-        _, component = np.unique(np.array([r[2] for r in rows], object), return_inverse=True)
-        marks = np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(-1, REGISTERS)
-        one, two = part == part.min(), part == part.max()
-        left, right = np.flatnonzero(one), np.flatnonzero(two)
-        firsts, seconds = [], []
-        for i in left:
-            there = right[(component[right] != component[i]) & (near[right] != near[i])]
-            if part.min() == part.max():
-                there = there[there > i]
-            there = there[(marks[there] == marks[i]).mean(1) >= LEAST_AGREEING]
-            firsts.append(np.full(len(there), near[i]))
-            seconds.append(near[there])
-        return np.concatenate(firsts), np.concatenate(seconds)
+        "part", "digest", "component", "marks", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, rows = None, []
+        block, rows, hashes = None, [], WordHashes()
 
         def done() -> pa.RecordBatch:
-            a, b = compare(rows)
+            links = _block_links(block[0], rows, hashes)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())],
-                ["a_near", "b_near"])
+                [pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in batch.schema.names]
@@ -310,7 +381,7 @@ def _cross_pairs(buckets: DataFrame, components: DataFrame, nodes: DataFrame) ->
             yield done()
 
     dealt = members.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    return dealt.mapInArrow(run, "a_near bigint, b_near bigint").distinct()
+    return dealt.mapInArrow(run, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -324,37 +395,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     class without any other. An empty table gives no rows; other columns are not looked at.
 
     A pair at the threshold shares no band with probability 6e-8, and is left out by its
-    signature with probability 1e-8; more similar pairs are safer.
+    signature with probability 4e-5; more similar pairs are safer.
     """
     sketches = spool(_sketches(docs), "near-sketches")
-    nodes = sketches.where("marks IS NOT NULL").select("digest", "near", "marks", "bands")
-    keys = nodes.select("near", F.explode("bands").alias("key"))
-    pivots = keys.groupBy("key").agg(F.min("near").alias("pivot"), F.max("near").alias("last"))
-    pivots = pivots.where("pivot != last").select(F.col("key").alias("of_key"), "pivot")
-    buckets = spool(keys.join(pivots, F.col("key") == F.col("of_key")).select("key", "near", "pivot"),
-                    "near-buckets").distinct()
-    nodes = nodes.select("digest", "near", "marks")
+    nodes = sketches.where("marks IS NOT NULL").select("digest", "near", "marks")
+    buckets = _buckets(nodes)
     stars = buckets.where("near != pivot").select(
         F.col("pivot").alias("a_near"), F.col("near").alias("b_near")).distinct()
     likely = spool(_likely_pairs(stars, nodes), "near-likely")
-    ends = likely.select(F.col("a").alias("digest")).union(likely.select("b")).distinct()
-    texts = spool(_texts_of(docs, ends), "near-texts")
-    # Each node is first compared with one other: the smallest of those that look similar,
-    # else the most similar.
-    order = F.struct(
-        F.when(F.col("agreeing") >= LIKELY, F.lit(0.0)).otherwise(1 - F.col("agreeing")),
-        F.col("a"))
-    first = likely.groupBy("b").agg(F.min_by("a", order).alias("a")).select("a", "b")
+    among = buckets.select("near").distinct().join(nodes.select("near", "digest"), "near").select("digest").distinct()
+    texts = spool(_texts_of(docs, among), "near-texts")
+    # Each node is first compared with one other: its most similar pivot.
+    either = likely.select("a", "b", "agreeing").unionByName(
+        likely.select(F.col("b").alias("a"), F.col("a").alias("b"), "agreeing"))
+    first = either.groupBy("b").agg(F.max_by("a", F.struct("agreeing", "a")).alias("a")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = spool(_verified(first, texts), "near-links")
     components = connected_components(links, "near-components")
-    crossing = spool(_cross_pairs(buckets, components, nodes), "near-crossing")
-    more = spool(_likely_pairs(crossing, nodes), "near-more")
-    late = more.select(F.col("a").alias("digest")).union(more.select("b")).distinct().join(
-        ends, "digest", "left_anti")
-    all_texts = texts.unionByName(spool(_texts_of(docs, late), "near-late-texts"))
-    rest = likely.select("a", "b").join(first, ["a", "b"], "left_anti").union(more.select("a", "b")).distinct()
-    rest = _unconnected(rest, components)
-    links = links.union(spool(_verified(rest, all_texts), "near-rest"))
+    rest = likely.select("a", "b").join(first, ["a", "b"], "left_anti")
+    late = _verified(_unconnected(rest, components), texts).union(
+        _crossing_links(buckets, components, nodes, texts))
+    links = links.union(spool(late, "near-rest"))
     components = connected_components(links, "near-classes")
     of_digest = sketches.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
     placed = of_digest.join(
