@@ -122,6 +122,8 @@ class Pack:
             table = np.array(self.docs, np.int64).reshape(-1, 3)
             by_rank = np.lexsort((offset, table[text, 1], table[text, 0], around, run))
             text, offset, run, around = text[by_rank], offset[by_rank], run[by_rank], around[by_rank]
+            fresh = ~_same_place(table[text], offset, run, around)
+            text, offset, run, around = text[fresh], offset[fresh], run[fresh], around[fresh]
             later = np.zeros(len(text), bool)
             later[1:] = (run[1:] == run[:-1]) & (around[1:] == around[:-1])
             bucket = (run % _U(self.buckets)).astype(np.int64)
@@ -136,6 +138,14 @@ class Pack:
         self.clear()
 
 
+def _same_place(docs, offset, run, around) -> np.ndarray:
+    """Sorted records that name the place of the one before: rows repeating id and text."""
+    same = np.zeros(len(run), bool)
+    same[1:] = ((run[1:] == run[:-1]) & (around[1:] == around[:-1]) & (offset[1:] == offset[:-1])
+                & (docs[1:] == docs[:-1]).all(1))
+    return same
+
+
 def _packed(table, text, offset, run, around, later) -> bytes:
     used, local = np.unique(text, return_inverse=True)
     kept = int((~later).sum())
@@ -185,6 +195,8 @@ def _resolve(packs: list[bytes]) -> Iterator[pa.RecordBatch]:
     docs, offset, run, around = (np.concatenate(x) for x in zip(*firsts, strict=True))
     order = np.lexsort((offset, docs[:, 1], docs[:, 0], around, run))
     docs, offset, run, around = docs[order], offset[order], run[order], around[order]
+    fresh = ~_same_place(docs, offset, run, around)
+    docs, offset, run, around = docs[fresh], offset[fresh], run[fresh], around[fresh]
     same_run = np.zeros(len(run) + 1, bool)
     same_run[1:-1] = run[1:] == run[:-1]
     copy = np.zeros(len(run), bool)
@@ -256,11 +268,16 @@ def _surroundings(texts: DataFrame, asked: DataFrame) -> DataFrame:
     """The bytes around each place asked for, padded where the text ends."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             for doc, mark, value, places, anchors in zip(*(batch.column(c) for c in (
                     "doc", "mark", "text", "places", "anchors")), strict=True):
                 text = value.as_py().encode()
+                # Rows repeating id and text mostly come in a row here; once is enough.
+                if (doc, mark, text) == before:
+                    continue
+                before = doc, mark, text
                 padded = bytes(LEFT) + text + bytes(LENGTH)
                 for at, anchor in zip(places.as_py(), anchors.as_py(), strict=True):
                     for out, item in zip(rows, (anchor, doc.as_py(), mark.as_py(), at, len(text),
@@ -346,6 +363,10 @@ def _compared(around: DataFrame) -> DataFrame:
         docs = np.array([r[1:3] for r in rows], np.int64)
         at, size = (np.array([r[k] for r in rows], np.int64) for k in (3, 4))
         data = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(-1, LEFT + LENGTH)
+        # Rows repeating id and text are one place.
+        places = np.column_stack([anchor, docs, at, size])
+        once = np.unique(places, axis=0, return_index=True)[1]
+        anchor, docs, at, size, data = anchor[once], docs[once], at[once], size[once], data[once]
         keep = _may_share(data, anchor)
         anchor, docs, at, size, data = anchor[keep], docs[keep], at[keep], size[keep], data[keep]
         if not len(anchor):

@@ -82,3 +82,18 @@ def test_awkward_rows(docs, rows, no_docs):
     assert repeat_digests(no_docs).count() == 0
     texts = {r["doc_id"]: r["text"] for r in remove_repeats(docs).collect()}
     assert texts[2] == "" and texts[5] == "" and texts[12] == "x"
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_repeated_rows_keep_their_first_occurrence(spark, parts):
+    """Long texts under one id, alone and beside other documents that share parts of them."""
+    rows = [r for r in crossing_rows()[:60] if r[1]]
+    rng = random.Random(3)
+    rows.append((1000, "".join(rng.choices("abcdefgh", k=700))))
+    expected = {(r[0], r[1]): r[2:] for r in brute(rows)}
+    docs = spark.createDataFrame(rows * 3, "doc_id bigint, text string").repartition(parts)
+    found = repeat_digests(docs).collect()
+    assert len(found) == 3 * len(rows)
+    for row in found:
+        assert tuple(row)[2:] == expected[row["doc_id"], row["n_bytes"]]
+    assert expected[1000, 700][0] == 0
