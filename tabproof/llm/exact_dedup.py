@@ -29,6 +29,22 @@ def md5_digest(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
+def _rank() -> Column:
+    """One fixed-width number per row, so that the maximum needs no sort: longest text
+    first, then smallest id."""
+    wide = "decimal(38,0)"
+    by_id = F.coalesce(F.lit(_TOP).cast(wide) - F.col("doc_id").cast(wide), F.lit(0).cast(wide))
+    n_chars = F.length(F.coalesce(F.col("text"), F.lit("")))
+    return (n_chars.cast(wide) * F.lit(_IDS).cast(wide) + by_id).cast(wide)
+
+
+def _groups(rows: DataFrame) -> DataFrame:
+    """``digest, sha, group_size, best`` of each group of equal texts."""
+    return rows.groupBy("digest", "norm").agg(
+        F.max("rank").alias("best"), F.count(F.lit(1)).alias("group_size")).select(
+        "digest", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size", "best")
+
+
 def exact_duplicates(
     docs: DataFrame, digest: Callable[[Column], Column] = md5_digest
 ) -> DataFrame:
@@ -44,31 +60,17 @@ def exact_duplicates(
     byte, so a weak digest costs time and changes nothing.
     """
     rows = docs.select(
-        F.col("doc_id"),
-        F.length(F.coalesce(F.col("text"), F.lit(""))).alias("n_chars"),
-        normalised(F.col("text")).alias("norm"),
+        F.col("doc_id"), normalised(F.col("text")).alias("norm"), _rank().alias("rank"),
     ).withColumn("digest", digest(F.col("norm")))
-    # One fixed-width number per row, so that the maximum needs no sort: longest text
-    # first, then smallest id.
+    groups = _groups(rows)
     wide = "decimal(38,0)"
-    by_id = F.coalesce(F.lit(_TOP).cast(wide) - F.col("doc_id").cast(wide), F.lit(0).cast(wide))
-    rank = F.col("n_chars").cast(wide) * F.lit(_IDS).cast(wide) + by_id
-    groups = (
-        rows.withColumn("rank", rank.cast(wide))
-        .groupBy("digest", "norm")
-        .agg(F.max("rank").alias("best"), F.count(F.lit(1)).alias("group_size"))
-        .select(
-            "digest", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size", "best")
-    )
     id_part = F.col("best") % F.lit(_IDS).cast(wide)
     groups = groups.select(
         F.col("digest").alias("of_digest"), F.col("sha").alias("of_sha"), "group_size", "best",
         F.when(id_part != 0, (F.lit(_TOP).cast(wide) - id_part).cast("bigint")).alias("keep_id"),
     )
     members = rows.select(
-        "doc_id", "digest", F.unhex(F.sha2("norm", 256)).alias("sha"),
-        rank.cast(wide).alias("rank"),
-    )
+        "doc_id", "digest", F.unhex(F.sha2("norm", 256)).alias("sha"), "rank")
     joined = members.join(
         groups,
         (F.col("digest") == F.col("of_digest")) & (F.col("sha") == F.col("of_sha")),
@@ -83,9 +85,15 @@ def exact_duplicates(
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns; rows repeating id and text become one.
 
-    The verdict join leaves the rows dealt out and sorted by id, so the last step needs
-    no exchange of its own.
+    A row stays by its text, its length and its id together, so different texts under one
+    id, or without id, do not speak for each other. The verdict join leaves the rows dealt
+    out by these, so the last step needs no exchange of its own.
     """
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    staying = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return staying.dropDuplicates(["doc_id"])
+    norm = normalised(F.col("text"))
+    best = _groups(docs.select(
+        norm.alias("norm"), _rank().alias("rank"), md5_digest(norm).alias("digest")))
+    best = best.select(F.col("sha").alias("_of_sha"), F.col("best").alias("_best"))
+    rows = docs.withColumns({"_sha": F.unhex(F.sha2(norm, 256)), "_rank": _rank()})
+    staying = rows.join(
+        best, (F.col("_sha") == F.col("_of_sha")) & (F.col("_rank") == F.col("_best")), "left_semi")
+    return staying.dropDuplicates(["_sha", "_rank"]).drop("_sha", "_rank")

@@ -23,7 +23,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabproof.llm.components import connected_components
@@ -158,9 +158,17 @@ def _band_keys(marks: np.ndarray) -> np.ndarray:
     return _mix(bands + np.arange(bands.shape[1], dtype=np.uint64) * _GOLDEN).view(np.int64)
 
 
+def _row_key() -> Column:
+    """A key of id and text together; rows that repeat both have the same."""
+    return F.unhex(F.sha2(F.concat(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+        F.coalesce(F.col("text").cast("string"), F.lit(""))), 256))
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, near, marks``; the last two only at the first row of a digest in a
-    task. ``near`` is the head of the digest, ``marks`` holds 16 bits per register."""
+    """``doc_id, row, digest, near, marks``; the last two only at the first row of a digest
+    in a task. ``row`` is the key of id and text, ``near`` is the head of the digest,
+    ``marks`` holds 16 bits per register."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
@@ -182,12 +190,12 @@ def _sketches(docs: DataFrame) -> DataFrame:
             if len(seen) > 1_000_000:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(near, pa.int64()),
-                 pa.array(column, pa.binary())], ["doc_id", "digest", "near", "marks"])
+                [batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(near, pa.int64()),
+                 pa.array(column, pa.binary())], ["doc_id", "row", "digest", "near", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
-        run, f"doc_id {kind}, digest binary, near bigint, marks binary")
+    return docs.select("doc_id", F.col("text").cast("string"), _row_key().alias("row")).mapInArrow(
+        run, f"doc_id {kind}, row binary, digest binary, near bigint, marks binary")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
@@ -384,19 +392,8 @@ def _crossing_links(buckets: DataFrame, components: DataFrame, nodes: DataFrame,
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, class_id, class_size, kept``: the near-duplicate class of every document.
-
-    ``class_id`` is the smallest ``doc_id`` of the class and that document is ``kept``.
-    Documents are linked if the multisets of their runs of five words overlap by 0.8 or
-    more; classes are connected by such links. Null counts as empty, and texts without
-    words are all equal. Texts of fewer than five words are linked if they have the same
-    words. Repeated rows get a row each and share the verdict; a null id is kept only in a
-    class without any other. An empty table gives no rows; other columns are not looked at.
-
-    A pair at the threshold shares no band with probability 6e-8, and is left out by its
-    signature with probability 4e-5; more similar pairs are safer.
-    """
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sketches of the documents, and the component of each digest that has links."""
     sketches = spool(_sketches(docs), "near-sketches")
     nodes = sketches.where("marks IS NOT NULL").select("digest", "near", "marks")
     buckets = _buckets(nodes)
@@ -416,7 +413,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     late = _verified(_unconnected(rest, components), texts).union(
         _crossing_links(buckets, components, nodes, texts))
     links = links.union(spool(late, "near-rest"))
-    components = connected_components(links, "near-classes")
+    return sketches, connected_components(links, "near-classes")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, class_id, class_size, kept``: the near-duplicate class of every document.
+
+    ``class_id`` is the smallest ``doc_id`` of the class and that document is ``kept``.
+    Documents are linked if the multisets of their runs of five words overlap by 0.8 or
+    more; classes are connected by such links. Null counts as empty, and texts without
+    words are all equal. Texts of fewer than five words are linked if they have the same
+    words. Repeated rows get a row each and share the verdict; a null id is kept only in a
+    class without any other. An empty table gives no rows; other columns are not looked at.
+
+    A pair at the threshold shares no band with probability 6e-8, and is left out by its
+    signature with probability 4e-5; more similar pairs are safer.
+    """
+    sketches, components = _classes(docs)
     of_digest = sketches.groupBy("digest").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
     placed = of_digest.join(
         components.select(F.col("node").alias("digest"), "component"), "digest", "left").withColumn(
@@ -439,7 +452,18 @@ def _unconnected(pairs: DataFrame, components: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each class, all columns."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    staying = docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
-    return staying.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay, one of each class, all columns.
+
+    That is the row of the smallest id, null being the largest; texts of one id go by a
+    checksum. The verdict is on id and text together, so classes that share an id, or have
+    none, each keep a row.
+    """
+    sketches, components = _classes(docs)
+    first = sketches.groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"))
+    placed = first.join(components.select(F.col("node").alias("digest"), "component"), "digest", "left")
+    kept = placed.groupBy(F.coalesce("component", "digest")).agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.row").alias("_kept_row"))
+    staying = docs.withColumn("_row", _row_key()).join(
+        kept, F.col("_row") == F.col("_kept_row"), "left_semi")
+    return staying.dropDuplicates(["_row"]).drop("_row")

@@ -48,3 +48,12 @@ def test_stage_keeps_columns_and_drops_repeats(docs, rows):
 def test_empty(no_docs):
     assert exact_duplicates(no_docs).count() == 0
     assert drop_exact_duplicates(no_docs).count() == 0
+
+
+def test_texts_that_share_an_id_are_told_apart(spark):
+    rows = [(None, "one"), (None, "two"), (None, "two"), (7, "three"), (7, "four"), (1, "five x"), (8, "fivex"),
+            (8, "six"), (9, "a b"), (9, "ab")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = sorted(map(tuple, drop_exact_duplicates(docs).collect()), key=repr)
+    assert left == sorted([(None, "one"), (None, "two"), (7, "three"), (7, "four"), (1, "five x"), (8, "six"),
+                           (9, "a b")], key=repr)

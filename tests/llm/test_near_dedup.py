@@ -92,3 +92,18 @@ def test_awkward_rows(docs, rows, no_docs):
     assert left.columns == docs.columns
     assert sorted(r["doc_id"] for r in left.collect()) == sorted({c for c in by_id.values() if c is not None})
     assert near_duplicates(no_docs).count() == drop_near_duplicates(no_docs).count() == 0
+
+
+def test_texts_that_share_an_id_are_told_apart(spark, words):
+    """One row a class, also for classes of one id or none, and for near copies under one id."""
+    base = words(120, 1)
+    near = base.replace(base.split()[60], "changed", 1)
+    rows = [(None, words(40, 2)), (None, words(40, 3)), (None, words(40, 3)), (7, words(40, 4)), (7, words(40, 5)),
+            (1, base), (8, near), (8, words(40, 6)), (None, base), (9, ""), (10, " ")]
+    near_two = words(40, 7) + " " + words(100, 8)
+    rows += [(11, near_two), (11, near_two + " more")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = [(r["doc_id"], r["text"]) for r in drop_near_duplicates(docs).collect()]
+    assert sorted((x for x in left if x[0] != 11), key=repr) == sorted(
+        [rows[0], rows[1], rows[3], rows[4], rows[5], rows[7], rows[9]], key=repr)
+    assert len([x for x in left if x[0] == 11]) == 1
