@@ -54,8 +54,12 @@ _NOT_TEXT = frozenset(
 _NOT_TEXT_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar "
     "toolbar tablist".split())
+#: What may stand in a head; anything else ends it, as in browsers.
+_IN_HEAD = frozenset("base basefont bgsound link meta template".split()) | _RAW.keys()
 #: Class and id words of what is not the article. The first kind may sit on a wrapper of the
-#: whole page ("with-sidebar"), so an article or main element inside undoes it.
+#: whole page ("with-sidebar"), so an article or main element inside undoes it. So may the
+#: second ("social-layout"): it does not count on what holds the main element or the page's
+#: first article. If no text is left, no class or id word counts.
 _LAYOUT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner nav navbar navigation menu menus "
     "sidebar aside header footer masthead topbar toolbar widget widgets skip breadcrumb breadcrumbs "
@@ -64,7 +68,9 @@ _LAYOUT_WORDS = frozenset(
 _EXTRA_WORDS = frozenset(
     "comment comments commentlist respond disqus reply replies related recommended recommendations "
     "share sharing social sponsor sponsored sponsors promo promos promotion newsletter subscribe "
-    "subscription adsense doubleclick taboola outbrain hidden".split())
+    "subscription adsense doubleclick taboola outbrain".split())
+#: Classes that make an article of itself, whatever else its classes say.
+_ARTICLE_CLASSES = frozenset("article entry post story".split())
 _GOOD_WORDS = frozenset("article content post entry story text body main".split())
 
 
@@ -72,11 +78,25 @@ class Page:
     """Blocks and scored containers of one page."""
 
     def __init__(self, html: str) -> None:
+        self._read(html, frozenset(), True)
+        if self.wrappers:
+            self._read(html, frozenset(self.wrappers), True)
+        if self.worded and not any(not self.bad[node] for node, _, _ in self.blocks):
+            self._read(html, frozenset(), False)
+
+    def _read(self, html: str, wrappers: frozenset[int], by_words: bool) -> None:
+        """Parse and score, without the class words of ``wrappers`` or of all elements."""
+        #: Elements whose class words do not count, known before and found here.
+        self.cleared, self.wrappers, self.by_words = wrappers, set(), by_words
+        #: Whether a class word has left anything out, and whether an article has come.
+        self.worded = self.article_seen = False
+        #: The element whose class word of the second kind leaves this one out, or -1.
+        self.sources = [-1]
         self.parents = [-1]
         self.tags = ["root"]
         self.paths = [""]
         self.hints = [0.8]
-        #: 0 is text, 1 is left out by a class word, 2 is left out for good.
+        #: 0 is text, 1 is left out by a class word, 2 by one of the second kind or for good.
         self.bad = [0]
         #: Element, text and characters inside links of each block.
         self.blocks: list[tuple[int, str, int]] = []
@@ -85,6 +105,7 @@ class Page:
 
     def _parse(self, html: str) -> None:
         stack = [0]
+        head_over = False
         pieces: list[str] = []
         owner = 0
         links = linked = 0
@@ -99,6 +120,8 @@ class Page:
 
         def characters(piece: str) -> None:
             nonlocal owner, linked
+            if self.tags[stack[-1]] == "head" and not piece.isspace():
+                end_head()
             if self.bad[stack[-1]] == 2:
                 return
             if "&" in piece:
@@ -117,6 +140,15 @@ class Page:
                 links -= self.tags[node] == "a"
             del stack[depth:]
 
+        def end_head() -> None:
+            nonlocal head_over
+            head_over = True
+            for depth in range(1, len(stack)):
+                if self.tags[stack[depth]] == "head":
+                    flush()
+                    close_to(depth)
+                    break
+
         at, size = 0, len(html)
         while at < size:
             match = _TOKEN.search(html, at)
@@ -148,6 +180,11 @@ class Page:
                     if not inline:
                         flush()
                 continue
+            if tag == "head" and (head_over or "head" in map(self.tags.__getitem__, stack)):
+                continue
+            if tag == "body" or (
+                    self.tags[stack[-1]] == "head" and tag not in _IN_HEAD and tag != "html"):
+                end_head()
             if tag in _RAW:
                 end = _RAW[tag].search(html, at)
                 at = size if end is None else html.find(">", end.end()) + 1 or size
@@ -190,6 +227,7 @@ class Page:
         classes: list[str] = []
         words: set[str] = set()
         role = ""
+        source = self.sources[parent]
         if attributes and attributes.strip("/ \t\r\n"):
             for match in _ATTRIBUTE.finditer(attributes):
                 name = match[1].lower()
@@ -202,22 +240,37 @@ class Page:
                     role = value.strip().lower()
                 elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
                         name == "style" and re.search(r"display\s*:\s*none", value)):
-                    bad = 2
+                    bad, source = 2, -1
                 elif name == "itemprop" and value == "articleBody":
                     hint = 1.5
         main = tag in ("article", "main") or role == "main"
         inside = any(self.tags[n] in ("article", "main") for n in self._up(parent)) if (
             tag == "header" or "header" in words) else False
+        if not self.by_words or len(self.tags) in self.cleared:
+            classes_said, words = frozenset(), words & _GOOD_WORDS
+        else:
+            classes_said = frozenset(c.lower() for c in classes)
+        first = (role == "main" or tag == "main") or (tag == "article" and not self.article_seen)
+        own = bool(words & _EXTRA_WORDS) or "hidden" in classes_said
+        if main and own and first and (tag != "article" or classes_said & _ARTICLE_CLASSES):
+            own = False
         if tag in _NOT_TEXT or role in _NOT_TEXT_ROLES or (tag == "header" and not inside):
-            bad = 2
-        elif words & _EXTRA_WORDS:
-            bad = 2
+            bad, source = 2, -1
+        elif own:
+            if bad < 2 or source >= 0:
+                bad, source = 2, len(self.tags)
+            self.worded = True
         elif main:
             hint = 1.5
+            if bad == 2 and source >= 0 and (first or source in self.wrappers):
+                self._clear(source)
+                bad, source = 0, -1
             bad = 0 if bad == 1 else bad
+            self.article_seen = self.article_seen or not bad
         elif bad == 0 and words & _LAYOUT_WORDS and not (
                 inside and not words & (_LAYOUT_WORDS - {"header"})):
             bad = 1
+            self.worded = True
         elif hint == 1.0 and words & _GOOD_WORDS:
             hint = 1.25
         path = self.paths[parent]
@@ -229,8 +282,19 @@ class Page:
         self.paths.append(path)
         self.hints.append(hint)
         self.bad.append(bad)
+        self.sources.append(source)
         return len(self.tags) - 1
 
+    def _clear(self, node: int) -> None:
+        """Take ``node``, and what it is left out by itself, for wrappers of the page."""
+        while node > 0:
+            source = self.sources[node]
+            if source == node:
+                self.wrappers.add(node)
+            elif source > 0:
+                self.wrappers.add(source)
+            node = self.parents[node]
+
     def _up(self, node: int) -> Iterator[int]:
         while node >= 0:
             yield node

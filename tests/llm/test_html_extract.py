@@ -67,3 +67,20 @@ def test_given_pages(spark):
         inner = html[row["page_id"]].split("<article>")[1].split("</article>")[0]
         assert row["text"] == Page(f"<main>{inner}</main>").text(None)
         assert row["n_chars"] == len(row["text"]) > 0
+
+
+@pytest.mark.parametrize("html, expected", [
+    ("<div class='overflow-hidden'><p>All of it</p></div>", "All of it"),
+    ("<div class='social-layout'><h1>Title</h1><article><p>All of it</p></article>"
+     "<section class=comments><article>Nice one</article></section></div><p>Below", "Title\nAll of it\nBelow"),
+    ("<article class='post sponsored'><p>All of it</p></article><div>Low</div>", "All of it"),
+    ("<div class='promo'><p>All of it</p></div>", "All of it"),
+    ("<html><head><title>T</title><meta charset=utf-8><body><p>All of it</p></html>", "All of it"),
+    ("<head><link rel=x href=y><p>All of it", "All of it"),
+    ("<head><title>T</title>All of it", "All of it"),
+    ("<div class='hidden'>Not this</div><p>All of it", "All of it"),
+    ("<div class='social' hidden><article>Not this</article></div><p>All of it", "All of it"),
+    ("<p>All of it<section class='related'><article class='related'>Not this</article></section>", "All of it"),
+])
+def test_words_and_open_heads_lose_no_article(html, expected):
+    assert Page(html).text(None) == expected
