@@ -3,8 +3,9 @@
 Two passes over the pages with a vote between them. The first parses every page, scores
 its containers and lets each container's generalised tag-class path collect the score.
 Votes are added up per task, then per host in Spark, and the path with the most wins. The
-second pass parses the pages again and takes the container at the winning path; a page
-without such a container uses its own best one. Hosts with many pages are no hot keys:
+second pass parses the pages again and takes all containers at the winning path, with the
+text that stands beside them in no container of its own; a page without such containers
+uses its own best path. Hosts with many pages are no hot keys:
 votes are combined before the shuffle, and the table of winners has one row per host.
 """
 
@@ -71,6 +72,8 @@ _EXTRA_WORDS = frozenset(
     "subscription adsense doubleclick taboola outbrain".split())
 #: Classes that make an article of itself, whatever else its classes say.
 _ARTICLE_CLASSES = frozenset("article entry post story".split())
+#: Share of a page's text that a path holds at least where its elements' names count for it.
+HINTED_SHARE = 0.8
 _GOOD_WORDS = frozenset("article content post entry story text body main".split())
 
 
@@ -301,8 +304,8 @@ class Page:
             node = self.parents[node]
 
     def _score(self) -> None:
-        """Score of each container: its share of the page's text, how little else it holds,
-        and what its element says."""
+        """Score of each path: its containers' share of the page's text, how little else they
+        hold, and what their elements say. Containers of one path never hold each other."""
         mass: dict[int, int] = defaultdict(int)
         held: dict[int, int] = defaultdict(int)
         for node, text, linked in self.blocks:
@@ -311,26 +314,40 @@ class Page:
                 mass[above] += good
                 held[above] += len(text)
         whole = mass.get(0, 0)
-        self.scores = {
-            n: self.hints[n] * (m / whole) * (m / held[n]) for n, m in mass.items()
-            if m and not self.bad[n] and self.tags[n] in _CONTAINERS}
+        self.parts: dict[str, list[int]] = defaultdict(list)
+        for n in held:
+            if not self.bad[n] and self.tags[n] in _CONTAINERS:
+                self.parts[self.paths[n]].append(n)
+        self.scores = {}
+        for path, nodes in self.parts.items():
+            good, all_ = sum(mass[n] for n in nodes), sum(held[n] for n in nodes)
+            if good:
+                share, hint = good / whole, max(self.hints[n] for n in nodes)
+                self.scores[path] = (hint if share >= HINTED_SHARE else min(hint, 1.0)) * share * (good / all_)
 
     def votes(self) -> dict[str, float]:
-        """Best score per path."""
-        best: dict[str, float] = {}
-        for node, score in self.scores.items():
-            path = self.paths[node]
-            best[path] = max(score, best.get(path, 0.0))
-        return best
+        """Score per path."""
+        return self.scores
 
     def text(self, path: str | None) -> str:
-        """Blocks of the best container at ``path``, else of the page's best container."""
-        if not self.scores:
-            return ""
-        there = {n: s for n, s in self.scores.items() if self.paths[n] == path}
-        chosen = max((s, n) for n, s in (there or self.scores).items())[1]
-        return "\n".join(text for node, text, _ in self.blocks
-                         if not self.bad[node] and chosen in self._up(node))
+        """Blocks of the containers at ``path``, else at the page's best path.
+
+        Loose text of the elements around them, such as a title or a lead, and a main
+        heading if they have none, belong to them. Without a score all text is taken.
+        """
+        if path not in self.scores:
+            path = max(((s, self.parts[p][0], p) for p, s in self.scores.items()), default=(0, 0, ""))[2]
+        parts = {*self.parts.get(path, (0,))}
+        around = {above for n in parts for above in self._up(n)}
+        inside, nearest, headed = [0 in parts], [0], [False]
+        for n in range(1, len(self.tags)):
+            above = self.parents[n]
+            inside.append(inside[above] or n in parts)
+            nearest.append(n if self.tags[n] in _CONTAINERS else nearest[above])
+            headed.append(headed[above] or self.tags[n] == "h1")
+        untitled = not any(inside[n] and headed[n] and not self.bad[n] for n, _, _ in self.blocks)
+        return "\n".join(text for n, text, _ in self.blocks if not self.bad[n] and (
+            inside[n] or nearest[n] in around or (untitled and headed[n])))
 
 
 def _host_paths(pages: DataFrame) -> DataFrame:
@@ -358,7 +375,7 @@ def _host_paths(pages: DataFrame) -> DataFrame:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars, path`` of every page; ``path`` is its host's.
 
-    ``text`` joins the article's blocks by newlines in page order. Null html counts as
+    ``text`` joins the article's blocks, of all its parts, by newlines in page order. Null html counts as
     empty; a page without article text gets an empty text. A page whose url names no host
     uses its own best container. Repeated pages get a row each (and vote each), an empty
     table gives none; other columns are not looked at.

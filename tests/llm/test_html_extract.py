@@ -73,7 +73,7 @@ def test_given_pages(spark):
     ("<div class='overflow-hidden'><p>All of it</p></div>", "All of it"),
     ("<div class='social-layout'><h1>Title</h1><article><p>All of it</p></article>"
      "<section class=comments><article>Nice one</article></section></div><p>Below", "Title\nAll of it\nBelow"),
-    ("<article class='post sponsored'><p>All of it</p></article><div>Low</div>", "All of it"),
+    ("<article class='post sponsored'><p>All of it</p></article><div>Lo</div>", "All of it"),
     ("<div class='promo'><p>All of it</p></div>", "All of it"),
     ("<html><head><title>T</title><meta charset=utf-8><body><p>All of it</p></html>", "All of it"),
     ("<head><link rel=x href=y><p>All of it", "All of it"),
@@ -84,3 +84,21 @@ def test_given_pages(spark):
 ])
 def test_words_and_open_heads_lose_no_article(html, expected):
     assert Page(html).text(None) == expected
+
+
+def test_an_article_in_parts_comes_whole(spark):
+    """Parts of one generalised path around an advert, title and lead beside them."""
+    html = ("<body><div class=page><div class=top><h1>Title {0}</h1></div><p>A lead outside</p>"
+            "<div class='post-1'><p>{1}</p></div><div class=ad>Buy this</div><div class='post-2'><p>{2}</p></div>"
+            "<div class='post-3'><a href=x>See also</a></div><div class=x>A note</div></div></body>")
+    rows = [(i, f"http://h.com/{i}", html.format(i, "first part " * 30, "second part " * (5 + i))) for i in range(4)]
+    for row in extract_pages(spark.createDataFrame(rows, SCHEMA)).collect():
+        i = row["page_id"]
+        assert row["text"].split("\n") == [
+            f"Title {i}", "A lead outside", ("first part " * 30).strip(), ("second part " * (5 + i)).strip(), "See also"]
+
+
+def test_a_hint_does_not_outweigh_half_the_text():
+    html = f"<div class=intro>{'lead ' * 40}</div><article>{'text ' * 60}</article>"
+    assert Page(html).text(None).split() == ["lead"] * 40 + ["text"] * 60
+    assert Page("<div><p><a href=x>All linked</a></p></div>").text(None) == "All linked"
