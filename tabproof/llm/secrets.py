@@ -2,15 +2,14 @@
 
 A worklist starts with the whole text. Every layer taken from it is searched, then
 unwrapped: percent escapes, Unicode escapes and character references give a new layer of
-the same length or less, runs of base64 give one layer each, with gzip, zlib, bzip2 or xz
-data inside expanded. Layers go on the list until none is new. Each layer carries where
+the same length or less, runs of base64 give layers of bytes, a character each, and gzip,
+zlib, bzip2 or xz data in those is expanded. Layers go on the list until none is new. Each layer carries where
 its characters come from, so that a finding is reported by its place in the original.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import html
@@ -40,9 +39,22 @@ _UNICODE = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+"
     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Bytes of one expanded layer. Data that expands beyond it is reported as ``oversize``
-#: instead of being searched, so that a crafted archive cannot exhaust a task.
+#: Base64 wrapped over lines; line breaks may be written as escapes.
+_WRAPPED = re.compile(
+    r"[A-Za-z0-9+/_-]{4,}(?:[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*")
+#: Where bytes may be compressed, and whether they can hold anything that is looked for.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+_WORTH = re.compile(
+    rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
+    rb"|[A-Za-z0-9+/_-]{4}[ \t]*(?:[\r\n]|\\[rn])|" + _MAGIC.pattern)
+#: Bytes of one expanded layer. Data that expands beyond it is searched in overlapping
+#: layers of this size, one at a time, and reported as ``oversize`` as well: what is
+#: compressed once more inside may be cut there.
 LAYER_BYTES = 64 * 1024 * 1024
+OVERLAP_BYTES = 1024 * 1024
+#: Bytes that a decompressor is given and asked for at a time.
+_FEED, _PIECE = 4096, 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -58,6 +70,8 @@ class Layer:
     origin: tuple[int, ...]
     ends: tuple[int, ...]
     steps: tuple[int, ...]
+    #: Whether each character is a byte.
+    raw: bool = False
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         """Place in the original text of the characters ``start`` to ``end``."""
@@ -132,62 +146,130 @@ def _replaced(layer: Layer, pattern: re.Pattern) -> Layer | None:
     return Layer("".join(pieces), tuple(starts), tuple(origin), tuple(ends), tuple(steps))
 
 
-def _expand(data: bytes) -> bytes | None:
-    """Decompressed ``data`` if it is compressed; null if it grows beyond a layer."""
-    for magic, make in (
-        (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
-        (b"BZh", bz2.BZ2Decompressor),
-        (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
-        (b"x\x01", zlib.decompressobj), (b"x\x5e", zlib.decompressobj),
-        (b"x\x9c", zlib.decompressobj), (b"x\xda", zlib.decompressobj),
-    ):
-        if data.startswith(magic):
+def _worker(data: bytes):
+    """A decompressor for what starts with these bytes; null if it is not compressed."""
+    if data[:3] == b"\x1f\x8b\x08":
+        return zlib.decompressobj(31)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if data[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor(lzma.FORMAT_XZ)
+    return zlib.decompressobj() if _MAGIC.match(data[:2]) else None
+
+
+class _Expansion:
+    """Data decompressed from a place on, member after member, as far as it is sound.
+
+    ``end`` is the place after the last byte that was read.
+    """
+
+    def __init__(self, data: bytes, start: int) -> None:
+        self.data, self.end = data, start
+
+    def _member(self, start: int, feed: int) -> Iterator[bytes]:
+        worker, at = _worker(self.data[start:start + 8]), start
+        while not worker.eof and at < len(self.data):
+            given = self.data[at:at + feed]
+            at += len(given)
+            while True:
+                yield worker.decompress(given, _PIECE)
+                given = getattr(worker, "unconsumed_tail", b"")
+                if worker.eof or not (given or not getattr(worker, "needs_input", True)):
+                    break
+            self.end = at - len(worker.unused_data)
+
+    def pieces(self) -> Iterator[bytes]:
+        while _worker(self.data[self.end:self.end + 8]) is not None:
+            start, given = self.end, 0
             try:
-                worker = make()
-                out = worker.decompress(data, LAYER_BYTES)
-                if len(out) == LAYER_BYTES and not worker.eof:
-                    return None
-                return out
+                for piece in self._member(start, _FEED):
+                    given += len(piece)
+                    yield piece
             except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-                return data
-    return data
+                # Byte by byte, all that comes before the fault is had.
+                try:
+                    for piece in self._member(start, 1):
+                        rest, given = piece[given:], max(given - len(piece), 0)
+                        yield rest
+                except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+                    return
+            if self.end <= start:
+                return
+
+
+def _expanded(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
+    """Layers for the compressed data in a layer of bytes; a span where there are several."""
+    data = layer.text.encode("latin-1")
+    match = _MAGIC.search(data)
+    while match:
+        expansion, held, large = _Expansion(data, match.start()), bytearray(), False
+
+        def made(expansion=expansion, start=match.start()) -> Layer:
+            begin, stop = layer.span(start, max(expansion.end, start + 1))
+            return Layer(held.decode("latin-1"), (0,), (begin,), (stop,), (0,), True)
+
+        for piece in expansion.pieces():
+            held += piece
+            while len(held) > LAYER_BYTES:
+                more = bytes(held[LAYER_BYTES - min(OVERLAP_BYTES, LAYER_BYTES // 2):])
+                del held[LAYER_BYTES:]
+                yield made()
+                held, large = bytearray(more), True
+        if held:
+            yield made()
+        if large:
+            yield layer.span(match.start(), max(expansion.end, match.start() + 1))
+        match = _MAGIC.search(data, max(expansion.end, match.start() + 1) if held else match.start() + 1)
+
+
+def _letters(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    """Letters of each run of base64, and where its pieces start in the run and in the text."""
+    for match in _BASE64.finditer(text):
+        yield match.group().rstrip("="), [(0, match.start())]
+    for match in _WRAPPED.finditer(text):
+        lines, places, size, at = [], [], 0, match.start()
+        for gap in [*_BREAK.finditer(text, match.start(), match.end()), None]:
+            line = text[at:gap.start() if gap else match.end()].rstrip("=")
+            lines.append(line)
+            places.append((size, at))
+            size, at = size + len(line), gap.end() if gap else at
+        if size >= 16:
+            yield "".join(lines), places
+
+
+def _encoded(layer: Layer) -> Iterator[Layer]:
+    """Layers of bytes for each run of base64, in the four ways to begin it.
+
+    Letters of a path or word before the data belong to its run, so it may start anywhere.
+    """
+    for letters, places in _letters(layer.text):
+        letters = letters.replace("-", "+").replace("_", "/")
+        firsts = [p[0] for p in places]
+        for skip in range(4):
+            run = letters[skip:]
+            run = run[:-1] if len(run) % 4 == 1 else run
+            data = base64.b64decode(run + "=" * (-len(run) % 4))
+            if not _WORTH.search(data):
+                continue
 
+            def place(letter: int) -> int:
+                k = bisect_right(firsts, letter) - 1
+                return places[k][1] + letter - firsts[k]
 
-def _encoded(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
-    """A layer for each base64 run that holds text; a span where one is too large."""
-    for match in _BASE64.finditer(layer.text):
-        run = match.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            run = run[:-1]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        seen, packed = 0, False
-        while (more := _expand(data)) is not None and more is not data and seen < 64:
-            data, seen, packed = more, seen + 1, True
-        if more is None:
-            yield layer.span(*match.span())
-            continue
-        try:
-            text = data.decode("utf-8")
-        except UnicodeDecodeError:
-            continue
-        if not text or any(c < " " and c not in "\t\n\r" for c in text):
-            continue
-        begin, stop = match.start(), match.start() + len(run)
-        if packed:
-            yield Layer(text, (0,), (layer.span(begin, stop)[0],), (layer.span(begin, stop)[1],), (0,))
-            continue
-        # Six bits a letter: the letters that hold the bytes of each character.
-        origin, ends, place = [], [], 0
-        for char in text:
-            size = len(char.encode())
-            a, b = layer.span(begin + place * 8 // 6, begin + -(-(place + size) * 8 // 6))
-            origin.append(a)
-            ends.append(b)
-            place += size
-        yield Layer(text, tuple(range(len(text))), tuple(origin), tuple(ends), (0,) * len(text))
+            # Six bits a letter: the letters that hold each byte.
+            spans = [layer.span(place(skip + k * 8 // 6), place(skip - (-(k + 1) * 8 // 6) - 1) + 1)
+                     for k in range(len(data))]
+            yield Layer(data.decode("latin-1"), tuple(range(len(data))), tuple(a for a, _ in spans),
+                        tuple(b for _, b in spans), (0,) * len(data), True)
+
+
+def _unwrapped(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
+    for opener, pattern in (("%", _PERCENT), ("\\", _UNICODE), ("&#", _UNICODE)):
+        if opener in layer.text and (inner := _replaced(layer, pattern)) is not None:
+            yield inner
+    yield from _encoded(layer)
+    if layer.raw:
+        yield from _expanded(layer)
 
 
 def scan_text(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -195,9 +277,16 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, in
     base = find_secrets(text)
     found = {*base}
     whole = Layer(text, (0,), (0,), (len(text),), (1,))
-    waiting, known = [whole], set()
+    # What a layer unwraps to is made when its turn comes, so few layers are held at a time.
+    waiting, known = [iter([whole])], set()
     while waiting:
-        layer = waiting.pop()
+        layer = next(waiting[-1], None)
+        if layer is None:
+            waiting.pop()
+            continue
+        if not isinstance(layer, Layer):
+            found.add(("oversize", *layer))
+            continue
         # A layer met before at the same place ends a cycle of decodings.
         mark = (hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(),
                 layer.span(0, len(layer.text))) if layer is not whole and layer.text else None
@@ -206,14 +295,7 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, in
         known.add(mark)
         if layer is not whole:
             found.update((kind, *layer.span(a, b)) for kind, a, b in find_secrets(layer.text))
-        for opener, pattern in (("%", _PERCENT), ("\\", _UNICODE), ("&#", _UNICODE)):
-            if opener in layer.text and (inner := _replaced(layer, pattern)) is not None:
-                waiting.append(inner)
-        for inner in _encoded(layer):
-            if isinstance(inner, Layer):
-                waiting.append(inner)
-            else:
-                found.add(("oversize", *inner))
+        waiting.append(_unwrapped(layer))
     return base, list(found)
 
 

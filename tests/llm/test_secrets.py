@@ -2,6 +2,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -72,3 +73,45 @@ def test_documents(spark, docs, rows, no_docs):
     row = one.first()
     assert row["n_assign"] == 1 and row["spans"].startswith("assign:0:25,assign:26:")
     assert row["base_sha256"] == hashlib.sha256(b"assign:0:25").hexdigest()
+
+
+def _wrapped(data, width=76, sep="\n"):
+    letters = base64.b64encode(data).decode()
+    return sep.join(letters[i:i + width] for i in range(0, len(letters), width))
+
+
+NOISE = bytes(range(256)) * 3
+WHOLE = {
+    "not utf-8": base64.b64encode(b"\xff\xfe " + SECRET.encode() + b" \x80").decode(),
+    "control characters": base64.b64encode(b"\0\f\x1b" + SECRET.encode()).decode(),
+    "later gzip member": base64.b64encode(gzip.compress(b"first ") + gzip.compress(SECRET.encode())).decode(),
+    "across gzip members": base64.b64encode(gzip.compress(b"password = hun") + gzip.compress(b"ter2hunter2")).decode(),
+    "later bzip2 stream": base64.b64encode(bz2.compress(b"first ") + bz2.compress(SECRET.encode())).decode(),
+    "later xz stream": base64.b64encode(lzma.compress(b"first ") + lzma.compress(SECRET.encode())).decode(),
+    "gzip with a wrong checksum": base64.b64encode(gzip.compress(SECRET.encode())[:-8] + b"12345678").decode(),
+    "gzip cut short": base64.b64encode(gzip.compress(SECRET.encode())[:-9]).decode(),
+    "gzip in gzip after noise": base64.b64encode(NOISE + gzip.compress(gzip.compress(SECRET.encode()))).decode(),
+    "wrapped": _wrapped(b"some words before it, then " * 2 + SECRET.encode() + b" and more words after it " * 3),
+    "wrapped gzip": _wrapped(gzip.compress(hashlib.sha512(b"x").digest() * 2 + SECRET.encode())),
+    "wrapped narrowly": _wrapped(SECRET.encode(), 10, "\r\n"),
+    "wrapped in escapes": _wrapped(SECRET.encode(), 20, "\\n"),
+    **{f"after {n} letters": "abcd/"[:n] + base64.b64encode(SECRET.encode()).decode() for n in range(1, 5)},
+    "gzip after a path": "path/" + base64.b64encode(gzip.compress(SECRET.encode())).decode(),
+}
+
+
+@pytest.mark.parametrize("name", sorted(WHOLE))
+def test_no_layer_is_given_up(name):
+    text = f"é before {WHOLE[name]} after"
+    base, found = scan_text(text)
+    spans = [(a, b) for kind, a, b in found if kind == "assign"]
+    assert base == [] and spans
+    begin = text.index(WHOLE[name])
+    assert all(begin <= a < b <= begin + len(WHOLE[name]) for a, b in spans)
+
+
+def test_oversize_data_is_searched(monkeypatch):
+    monkeypatch.setattr("tabproof.llm.secrets.LAYER_BYTES", 1000)
+    for n in (0, 980, 990, 995, 1000, 4000, 9000):
+        text = base64.b64encode(gzip.compress(b"x" * n + b" " + SECRET.encode() + b" " + b"x" * 3000)).decode()
+        assert {s[0] for s in scan_text(text)[1]} == {"assign", "oversize"}
