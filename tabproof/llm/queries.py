@@ -6,6 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from tabproof.llm.bpe import token_digests
+from tabproof.llm.decontaminate import contamination
 from tabproof.llm.exact_dedup import exact_duplicates
 from tabproof.llm.html_extract import extract_pages
 from tabproof.llm.mixing import mix_sources
@@ -166,12 +167,51 @@ def op10_topk_search(spark, sf_dir):
     return search(docs, queries)
 
 
+def op13_decontaminate(spark, sf_dir):
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ), b AS (
+        SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ), g AS (
+        SELECT DISTINCT item, least(len(w), 10) AS n, w[i:i + least(len(w), 10) - 1] AS gram
+        FROM (SELECT *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+    ), o AS (
+        SELECT r, n, i, w[i:i + n - 1] AS gram
+        FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i
+              FROM d, (SELECT DISTINCT n FROM g) WHERE len(w) >= n)
+    ), f AS (
+        SELECT o.r, o.i, o.n, g.item FROM o JOIN g ON o.n = g.n AND o.gram = g.gram
+    ), h AS (
+        SELECT r, count(DISTINCT k) AS n_hit
+        FROM (SELECT r, unnest(range(i, i + n)) AS k FROM f) GROUP BY r
+    ), t AS (
+        SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT r, item FROM f) GROUP BY r
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+           coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+           n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_substring_dedup, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing,
-    op9_near_dedup, op10_topk_search)}
+    op9_near_dedup, op10_topk_search, op13_decontaminate)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_url_filter": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op13_decontaminate": OP13_SQL,
 }
