@@ -6,6 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from tabproof.llm.bpe import token_digests
+from tabproof.llm.clustering import cluster
 from tabproof.llm.decontaminate import contamination
 from tabproof.llm.exact_dedup import exact_duplicates
 from tabproof.llm.html_extract import extract_pages
@@ -16,6 +17,7 @@ from tabproof.llm.secrets import scan_secrets
 from tabproof.llm.substring_dedup import repeat_digests
 from tabproof.llm.topk_search import search
 from tabproof.llm.url_filter import filter_urls
+from tabproof.llm.whitening import whiten
 
 #: The tokenizer file of op6.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -167,6 +169,54 @@ def op10_topk_search(spark, sf_dir):
     return search(docs, queries)
 
 
+def op11_clustering(spark, sf_dir):
+    return cluster(_table(spark, sf_dir, "embeddings"))
+
+
+def _op11_round(n: int) -> str:
+    """Assignment to the centroids before round ``n``, and the centroids after it."""
+    return f"""
+    a{n} AS MATERIALIZED (
+        SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d
+        FROM (SELECT v.r, k.c, sum((v.x - k.x) * (v.x - k.x)) AS d
+              FROM v JOIN c{n} k USING (j) GROUP BY v.r, k.c)
+        GROUP BY r
+    ), c{n + 1} AS MATERIALIZED (
+        SELECT k.c, j, coalesce(m.x, k.x) AS x
+        FROM c{n} k LEFT JOIN (
+            SELECT c, j, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS x
+            FROM v JOIN a{n} USING (r) GROUP BY c, j) m USING (c, j)
+    ),"""
+
+
+OP11_SQL = f"""
+    WITH e AS (
+        SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+    ), w AS (
+        SELECT r, vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS j
+        FROM e WHERE len(embedding) = 64
+    ), v AS MATERIALIZED (
+        SELECT r, vec_id, j, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM w
+        WHERE r NOT IN (SELECT r FROM w WHERE x IS NULL OR NOT isfinite(x))
+    ), f AS (
+        SELECT r, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), ''))) - 1 AS c
+        FROM (SELECT DISTINCT r, vec_id FROM v)
+    ), c0 AS MATERIALIZED (
+        SELECT c, j, x FROM v JOIN f USING (r) WHERE c < 16
+    ), {"".join(_op11_round(n) for n in range(4))} s AS (
+        SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS centroid_sha256 FROM c3 GROUP BY c
+    )
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+           CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+           CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM a3 JOIN s USING (c) JOIN e USING (r)
+"""
+
+
+def op12_whitening(spark, sf_dir):
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_decontaminate(spark, sf_dir):
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -207,11 +257,13 @@ OP13_SQL = r"""
 
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_substring_dedup, op3_quality, op4_exact_dedup, op5_secret_scan, op6_bpe, op7_url_filter, op8_mixing,
-    op9_near_dedup, op10_topk_search, op13_decontaminate)}
+    op9_near_dedup, op10_topk_search, op11_clustering, op12_whitening,
+    op13_decontaminate)}
 QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_url_filter": OP7_SQL,
     "op8_mixing": OP8_SQL,
+    "op11_clustering": OP11_SQL,
     "op13_decontaminate": OP13_SQL,
 }
