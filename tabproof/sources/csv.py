@@ -1,7 +1,8 @@
 """Strict CSV: a malformed file is an error, never a plausible-looking table.
 
 The checks are aggregates over the raw lines and over the parsed rows, so they scale
-with the cluster, and a file is split across tasks unless quoted line breaks forbid it.
+with the cluster. A file is split across tasks, also if quoted fields hold line breaks: then
+its records are put together from line ranges first (:mod:`tabproof.sources.records`).
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tabproof.contract import TableContract
 from tabproof.errors import SourceFormatError, SourceNotFoundError, SourceReadError
 from tabproof.functions.columns import quoted
 from tabproof.plans.quality import QualityReport, require_valid, validate
+from tabproof.sources.records import csv_records
 
 # Cells that mean "missing", as pandas documents them for read_csv.
 MISSING_TOKENS = (
@@ -112,8 +114,7 @@ def _check_lines(spark, path) -> bool:
     return bool(facts["odd_lines"])
 
 
-def _header(spark, path, multi_line) -> list[str]:
-    first = spark.read.options(**_options(multi_line)).csv(path).first()
+def _names(path: str, first) -> list[str]:
     names = [name or "" for name in first] if first else []
     if not names:
         raise SourceReadError(path, "the file has no header")
@@ -123,6 +124,43 @@ def _header(spark, path, multi_line) -> list[str]:
     return names
 
 
+def _text_schema(names: list[str]) -> T.StructType:
+    return T.StructType(
+        [T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
+
+
+def _line_rows(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """Header and rows as text where every record is one line."""
+    names = _names(path, spark.read.options(**_options(False)).csv(path).first())
+    rows = (
+        spark.read.options(**_options(False), columnNameOfCorruptRecord=CORRUPT)
+        .option("header", True).option("enforceSchema", False).schema(_text_schema(names)).csv(path)
+    )
+    return names, rows
+
+
+def _record_rows(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """Header and rows as text where records may span lines."""
+    records = csv_records(spark, path)
+    options = {k: str(v) for k, v in _options(True).items()} | {"columnNameOfCorruptRecord": CORRUPT}
+
+    def fields(record: Column, names: list[str]) -> Column:
+        return F.from_csv(record, ", ".join(f"`{n.replace('`', '``')}` string" for n in [*names, CORRUPT]), options)
+
+    headers = records.where("header").groupBy("record").agg(F.min("file").alias("file")).orderBy("file")
+    found = headers.withColumn("width", _field_count(F.col("record"))).limit(2).collect()
+    if not found:
+        raise SourceReadError(path, "the file has no header")
+    numbered = [f"c{i}" for i in range(max(r["width"] for r in found))]
+    parsed = [
+        [cell or "" for cell in row[:found[i]["width"]]] for i, row in enumerate(
+            headers.limit(2).select(fields(F.col("record"), numbered).alias("f")).select("f.*").collect())]
+    names = _names(path, parsed[0])
+    if any(other != names for other in parsed):
+        raise SourceReadError(found[1]["file"], "the header differs from that of other files")
+    return names, records.where("NOT header").select(fields(F.col("record"), names).alias("f")).select("f.*")
+
+
 def _cell(name: str) -> Column:
     """The text of a cell, null when it is one of the missing tokens."""
     return F.when(~quoted(name).isin(*MISSING_TOKENS), quoted(name))
@@ -141,14 +179,7 @@ def read_strict_csv(spark: SparkSession, path: str) -> DataFrame:
     boolean when all its present cells are, and string otherwise.
     """
     _check_location(spark, path)
-    multi_line = _check_lines(spark, path)
-    names = _header(spark, path, multi_line)
-    schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.options(**_options(multi_line), columnNameOfCorruptRecord=CORRUPT)
-        .option("header", True).option("enforceSchema", False).schema(schema).csv(path)
-    )
+    names, rows = (_record_rows if _check_lines(spark, path) else _line_rows)(spark, path)
 
     checks = [F.count_if(_field_count(F.col(CORRUPT)) > len(names)).alias("long_rows")]
     for i, name in enumerate(names):
