@@ -17,6 +17,7 @@ from tabproof.contract import TableContract
 from tabproof.errors import SourceFormatError, SourceNotFoundError, SourceReadError
 from tabproof.functions.columns import quoted
 from tabproof.plans.quality import QualityReport, require_valid, validate
+from tabproof.sources.digests import file_manifest
 from tabproof.sources.records import csv_records
 
 # Cells that mean "missing", as pandas documents them for read_csv.
@@ -40,22 +41,12 @@ def _options(multi_line: bool) -> dict:
     }
 
 
-def file_manifest(spark: SparkSession, path: str, digest: bool = True) -> DataFrame:
-    """(path, length, sha256) of every file below ``path``.
-
-    One task reads one file whole, so a single file has to stay below 2 GB.
-    """
-    files = spark.read.format("binaryFile").load(path)
-    columns = ["path", "length"]
-    return files.select(*columns, F.sha2("content", 256).alias("sha256")) if digest else (
-        files.select(*columns))
-
-
 def fingerprint(spark: SparkSession, path: str) -> str:
     """SHA-256 of a file; of a folder, the digest of its sorted per-file digests.
 
-    Empty when nothing can be opened there; any other failure raises, a file above the
-    2 GB of Spark's binary reader among them.
+    Empty when nothing can be opened there; any other failure raises. A file of any size is
+    read by one task, and one task sees 64 characters per file; for very large files and
+    folders there is :func:`tabproof.sources.digests.folder_digest`.
     """
     try:
         digests = file_manifest(spark, path).agg(

@@ -6,6 +6,7 @@ from tabproof.contract import ColumnRule, TableContract
 from tabproof.sources.csv import (
     file_manifest, load_and_validate, load_training_table, read_strict_csv,
 )
+from tabproof.sources.digests import file_digests
 from tabproof.sources.shared import shared_folder
 from workload.tables import table
 
@@ -101,6 +102,42 @@ def manifest(spark, sf_dir):
     return file_manifest(spark, f"{sf_dir}/lineitem.parquet")
 
 
+def file_digest(spark, sf_dir):
+    """Block digest and SHA-256 of text files, one per year of orders; small blocks, so that
+    there are several levels."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.year("o_orderdate").alias("year"), "o_orderkey",
+        F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").alias("line"))
+    folder = shared_folder(spark, "orders-text")
+    orders.repartition("year").sortWithinPartitions("year", "o_orderkey").select("year", "line").write.partitionBy(
+        "year").text(folder)
+    found = file_digests(spark, folder, block=4096, fanout=4).join(
+        file_manifest(spark, folder).select("path", "sha256"), "path")
+    year = F.regexp_extract("path", r"/year=(\d+)/", 1).cast("int")
+    return found.select(year.alias("year"), "length", "digest", "sha256")
+
+
+FILE_DIGEST_SQL = """
+    WITH RECURSIVE f AS (
+        SELECT year(o_orderdate) AS year, string_agg(concat_ws('|', o_orderkey, o_custkey, o_orderstatus,
+               o_orderpriority) || chr(10), '' ORDER BY o_orderkey) AS content
+        FROM orders GROUP BY 1
+    ), n AS (
+        SELECT year, i AS place, sha256(substr(content, i * 4096 + 1, 4096)) AS digest,
+               CAST(ceil(length(content) / 4096) AS BIGINT) AS nodes
+        FROM (SELECT *, unnest(range(0, CAST(ceil(length(content) / 4096) AS BIGINT))) AS i FROM f)
+    ), t AS (
+        SELECT * FROM n
+        UNION ALL
+        SELECT year, place // 4, sha256(string_agg(digest, '' ORDER BY place)), (max(nodes) + 3) // 4
+        FROM t WHERE nodes > 1 GROUP BY year, place // 4
+    )
+    SELECT CAST(year AS INTEGER) AS year, CAST(length(content) AS BIGINT) AS length, digest,
+           sha256(content) AS sha256
+    FROM t JOIN f USING (year) WHERE nodes = 1
+"""
+
+
 QUERIES = {
     "csv_strict": csv_strict,
     "csv_missing_tokens": csv_missing_tokens,
@@ -108,6 +145,7 @@ QUERIES = {
     "csv_types": csv_types,
     "csv_training_table": csv_training_table,
     "file_manifest": manifest,
+    "file_digest": file_digest,
 }
 
 ORACLES = {
@@ -116,4 +154,5 @@ ORACLES = {
     "csv_documents": CSV_DOCUMENTS_SQL,
     "csv_types": CSV_TYPES_SQL,
     "csv_training_table": CSV_TRAINING_SQL,
+    "file_digest": FILE_DIGEST_SQL,
 }
