@@ -2,7 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabproof.operators.quantile import exact_medians, exact_modes
+from tabproof.operators import quantile
+from tabproof.operators.quantile import exact_medians, exact_modes, propose_medians, settle_medians
 
 
 def random_columns(rng, kind, n):
@@ -63,3 +64,32 @@ def test_modes_take_the_smallest_of_ties(spark):
         [(2.0, 1.0, None), (2.0, 3.0, None), (1.0, None, None), (1.0, 3.0, None)],
         "a double, b double, c double")
     assert exact_modes(df, ["a", "b", "c"]) == [1.0, 3.0, None]
+
+
+def test_bounds_that_miss_the_middle_are_found_out(spark):
+    """The counting scan proves the proposal; a wrong one costs scans, not the result."""
+    values = [float(i % 1000) for i in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    for low, high in [(0.0, 10.0), (700.0, 900.0), (499.0, 499.0), (500.0, 600.0), (-5.0, 5000.0), (2000.0, 3000.0)]:
+        searches = propose_medians(df, ["x"])
+        searches[0].bound(low, high)
+        assert settle_medians(df, ["x"], searches) == [499.5]
+
+
+def test_medians_take_two_scans(spark, monkeypatch):
+    rounds = []
+    counted = quantile._middle_cells
+    monkeypatch.setattr(quantile, "_middle_cells", lambda *a: rounds.append(1) or counted(*a))
+    df = spark.range(200_000).select(
+        F.rand(3).alias("u"), F.exp(F.randn(4) * 20).alias("e"), (F.col("id") % 7).cast("double").alias("t"))
+    df = df.repartition(6).cache()
+    expected = df.agg(*[F.expr(f"median({c})") for c in df.columns]).first()
+    assert exact_medians(df, df.columns) == list(expected)
+    assert len(rounds) <= 2
+    df.unpersist()
+
+
+def test_medians_with_infinite_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf, 1.0, inf), (2.0, inf, inf), (5.0, -inf, inf)], "a double, b double, c double")
+    assert exact_medians(df, ["a", "b", "c"]) == [2.0, 1.0, inf]
