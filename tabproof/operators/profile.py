@@ -3,7 +3,8 @@
 The exact profile turns each row into one record per column and counts equal
 values before anything is shuffled, so a hot value travels as a single record per
 task. Every statistic then comes from those counts: each column is read once and only
-distinct values are shuffled, however many columns the table has.
+distinct values are shuffled, however many columns the table has. Whole numbers, dates and
+times travel as bit sets: 64 neighbouring values are one record whose bits say which occur.
 """
 
 from __future__ import annotations
@@ -70,48 +71,63 @@ def _value(field: T.StructField) -> Column:
     return F.when(F.length(text) >= DIGEST_LENGTH, F.sha2(text, 256)).otherwise(text)
 
 
-def _counted_values(df: DataFrame) -> DataFrame:
-    """(position, whole, number, text, n): every distinct value of every column.
+#: Values that share a record: one bit each of a 64-bit number.
+WORD_BITS = 6
 
-    The three kinds of value are counted apart: each reads only its own columns, and
-    narrow keys of one type are much cheaper to group than keys with empty slots.
-    """
+
+def _records(df: DataFrame, own: list, kind: str) -> DataFrame:
+    """(position, value): a record per row and column, without an array of them."""
+    cells = [part for i, f in own for part in (F.lit(i), _value(f))]
+    return df.select(F.stack(F.lit(len(own)), *cells).alias("position", kind))
+
+
+def _whole_parts(df: DataFrame, own: list) -> DataFrame:
+    """Facts per column and word of 64 values; all values of a word have one sign."""
+    value = F.col(WHOLE)
+    place = value.bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")
+    counted = _records(df, own, WHOLE).groupBy("position", F.shiftright(value, WORD_BITS).alias("word")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), place)).alias("bits"),
+        F.count_if(value == 0).alias("zeros"), F.min(value).alias("low"), F.max(value).alias("high"))
+    return counted.select(
+        "position", "n", F.when(F.col("word").isNull(), F.col("n")).otherwise(0).alias("missing"),
+        F.coalesce(F.bit_count("bits"), F.lit(0)).cast("bigint").alias("values"), "zeros",
+        F.when(F.col("word") < 0, F.col("n")).otherwise(0).alias("negatives"),
+        F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
+
+
+def _value_parts(df: DataFrame, own: list, kind: str) -> DataFrame:
+    """Facts per column and distinct value."""
+    values = _records(df, own, kind).groupBy("position", kind).agg(F.count(F.lit(1)).alias("n"))
+    number = F.col(NUMBER) if kind == NUMBER else F.lit(None).cast("double")
+    decimals = [i for i, f in own if isinstance(f.dataType, T.DecimalType)]
+    if decimals:
+        number = F.when(F.col("position").isin(decimals), F.col(TEXT).try_cast("double"))
+    present = F.col(kind).isNotNull()
+    n = F.col("n")
+    return values.select(
+        "position", "n", F.when(present, 0).otherwise(n).alias("missing"),
+        present.cast("bigint").alias("values"), F.when(number == 0, n).otherwise(0).alias("zeros"),
+        F.when(number < 0, n).otherwise(0).alias("negatives"), number.alias("low"), number.alias("high"))
+
+
+def _exact_statistics(df: DataFrame) -> DataFrame:
+    """The three kinds of value are counted apart: each reads only its own columns, and
+    narrow keys of one type are much cheaper to group than keys with empty slots."""
     fields = list(enumerate(df.schema.fields))
+    nothing = F.lit(0).cast("bigint")
     # One record per column with a count of zero, so that an empty table has a profile too.
-    counted = df.sparkSession.range(len(fields)).select(
+    parts = df.sparkSession.range(len(fields)).select(
         F.col("id").cast("int").alias("position"),
-        F.lit(None).cast("bigint").alias(WHOLE), F.lit(None).cast("double").alias(NUMBER),
-        F.lit(None).cast("string").alias(TEXT), F.lit(0).cast("bigint").alias("n"),
-    )
+        *[nothing.alias(c) for c in ("n", "missing", "values", "zeros", "negatives")],
+        *[F.lit(None).cast("double").alias(c) for c in ("low", "high")])
     for kind in (WHOLE, NUMBER, TEXT):
         own = [(i, f) for i, f in fields if _kind(f) == kind]
-        if not own:
-            continue
-        cells = F.array(*[
-            F.struct(F.lit(i).alias("position"), _value(f).alias(kind)) for i, f in own])
-        values = df.select(F.inline(cells)).groupBy("position", kind).agg(
-            F.count(F.lit(1)).alias("n"))
-        decimals = [i for i, f in own if isinstance(f.dataType, T.DecimalType)]
-        if decimals:
-            number = F.when(F.col("position").isin(decimals), F.col(TEXT).try_cast("double"))
-            values = values.withColumn(NUMBER, number)
-        counted = counted.unionByName(values, allowMissingColumns=True)
-    return counted
-
-
-def _exact_statistics(df: DataFrame) -> DataFrame:
-    present = F.col("whole").isNotNull() | F.col("number").isNotNull() | F.col("text").isNotNull()
-    return _counted_values(df).groupBy("position").agg(
-        F.sum("n").alias("row_count"),
-        F.sum(F.when(~present, F.col("n")).otherwise(0)).alias("missing_count"),
-        F.count_if(present).alias("unique_count"),
-        F.sum(F.when((F.col("whole") == 0) | (F.col("number") == 0), F.col("n")).otherwise(0))
-        .alias("zero_cells"),
-        F.sum(F.when((F.col("whole") < 0) | (F.col("number") < 0), F.col("n")).otherwise(0))
-        .alias("negative_cells"),
-        F.coalesce(F.min("number"), F.min("whole").cast("double")).alias("minimum"),
-        F.coalesce(F.max("number"), F.max("whole").cast("double")).alias("maximum"),
-    )
+        if own:
+            parts = parts.unionByName(_whole_parts(df, own) if kind == WHOLE else _value_parts(df, own, kind))
+    totals = ("row_count", "missing_count", "unique_count", "zero_cells", "negative_cells")
+    return parts.groupBy("position").agg(
+        *[F.sum(c).alias(name) for c, name in zip(("n", "missing", "values", "zeros", "negatives"), totals)],
+        F.min("low").alias("minimum"), F.max("high").alias("maximum"))
 
 
 def _single_row_statistics(df: DataFrame, approximate: bool) -> DataFrame:
