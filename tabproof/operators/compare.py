@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabproof.errors import EvaluationError
-from tabproof.functions.columns import metric_text
+from tabproof.functions.columns import json_text, metric_text
 from tabproof.operators.metrics import METRIC_NAMES
 
 
@@ -53,3 +53,27 @@ def confusion_table(comparison: DataFrame, model: str = "model") -> DataFrame:
     return comparison.select(
         model, F.col("true_negatives").alias("tn"), F.col("false_positives").alias("fp"),
         F.col("false_negatives").alias("fn"), F.col("true_positives").alias("tp"))
+
+
+def comparison_json(comparison: DataFrame, model: str = "model") -> DataFrame:
+    """One row with a JSON text: ranking metric, ranked names best first, unranked names
+    and every model's metrics, undefined ones as null."""
+    name, cells = F.col(model), [c for c in comparison.columns if c not in ("ordinal", "rank", "ranking_metric")]
+    placed = F.array_sort(F.collect_list(F.struct(
+        F.coalesce("rank", F.lit(2**31 - 1)).alias("place"), "ordinal", "rank", name.alias("name"),
+        F.struct(*cells).alias("evaluation"))))
+    listed = comparison.agg(F.first("ranking_metric").alias("ranking_metric"), placed.alias("models"))
+
+    def names(ranked: bool):
+        kept = F.filter("models", lambda m: m["rank"].isNotNull() == F.lit(ranked))
+        return F.transform(kept, lambda m: m["name"])
+
+    # The names of the entries.
+    return listed.select(json_text(
+        "ranking_metric", names(True).alias("order"), names(False).alias("unranked"),
+        F.col("models.evaluation").alias("evaluations")).alias("value"))
+
+
+def write_comparison_json(comparison: DataFrame, path: str, mode: str = "error", model: str = "model") -> None:
+    """Write :func:`comparison_json` as text."""
+    comparison_json(comparison, model).write.mode(mode).text(path)

@@ -212,7 +212,7 @@ def column_profile(statistics: DataFrame) -> DataFrame:
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
-    """Rows per distinct non-null target value, the value as double.
+    """Rows per distinct non-null target value, the value as double, in ascending order.
 
     Empty when the target is absent or not numeric.
     """
@@ -224,7 +224,7 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     return (
         df.select(value.alias("value"))
         .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy("value")
     )
 
 

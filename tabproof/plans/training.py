@@ -18,7 +18,7 @@ from tabproof import __version__
 from tabproof.contract import TableContract
 from tabproof.errors import ArtifactError, EvaluationError, PreparationError
 from tabproof.functions.columns import json_text, quoted
-from tabproof.operators.compare import comparison_table, confusion_table
+from tabproof.operators.compare import comparison_json, comparison_table, confusion_table
 from tabproof.operators.metrics import DECISION_THRESHOLD, binary_metrics, hard_predictions
 from tabproof.operators.prepare import build_training, describe_preparation
 from tabproof.operators.profile import class_distribution
@@ -261,3 +261,4 @@ def write_evaluation(
     }
     for name, part in parts.items():
         write_json(part, f"{path}/{name}", mode)
+    comparison_json(comparison).write.mode(mode).text(f"{path}/ranking")

@@ -2,14 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from tabproof.operators.align import align_scores, alignment_summary
+from tabproof.operators.align import align_by_position, align_scores, alignment_summary
 from tabproof.operators.compare import (
-    compare_models, comparison_table, comparison_text, confusion_table,
+    compare_models, comparison_table, comparison_text, confusion_table, stack_evaluations,
+    write_comparison_json,
 )
 from tabproof.operators.metrics import (
     binary_metrics, confusion_cells, confusion_counts, hard_predictions, positive_rate,
     pr_points, roc_points,
 )
+from tabproof.sources.shared import shared_folder
 from workload.tables import LINEITEM_SQL, SCORED_SQL, lineitem, scored_lineitem, table
 
 RATIOS = [
@@ -298,7 +300,82 @@ COMPARED_CONFUSION_SQL = f"""
            true_positives AS tp FROM ({METRICS_BY_MODEL_SQL})
 """
 
+def aligned_by_position(spark, sf_dir):
+    """Labels and scores in files of their own, in the same order and without ids."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+        (F.col("o_totalprice") / 1e6).alias("score"))
+
+    def written(column, parts):
+        folder = shared_folder(spark, f"{column}-by-position")
+        ordered = orders.repartitionByRange(parts, "o_orderkey").sortWithinPartitions("o_orderkey")
+        ordered.select(column).write.parquet(folder)
+        return spark.read.parquet(folder)
+
+    return align_by_position(written("label", 3), written("score", 5), "label", "score")
+
+
+POSITION_SQL = """
+    SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position,
+           CAST(o_orderstatus = 'F' AS INTEGER) AS label, o_totalprice / 1e6::DOUBLE AS score
+    FROM orders
+"""
+
+
+def stacked_evaluations(spark, sf_dir):
+    """Models evaluated apart, with thresholds of their own, stacked and ranked."""
+    scored = scored_lineitem(spark, sf_dir)
+    evaluations = [
+        binary_metrics(scored, "label", name, threshold).withColumn("model", F.lit(name))
+        for name, threshold in STACKED]
+    ranked = compare_models(stack_evaluations(evaluations), "accuracy")
+    return _shown(ranked, "rank", "ordinal", "model")
+
+
+STACKED = (("coarse", 0.7), ("tied", 0.5), ("fine", 0.3))
+STACKED_SQL = "SELECT CAST(row_number() OVER (ORDER BY accuracy DESC, ordinal) AS INTEGER) AS rank, * FROM (" + (
+    " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{name}' AS model, * FROM ("
+        + _metrics_sql(f"SELECT label, {name} AS score FROM ({SCORED_SQL})", threshold=threshold) + ")"
+        for i, (name, threshold) in enumerate(STACKED))) + ")"
+
+
+def comparison_json(spark, sf_dir):
+    """A comparison written as JSON and read back; ``returned_only`` cannot be ranked."""
+    rows = _long(spark, sf_dir).select("ordinal", "model", "label", "score")
+    one_class = scored_lineitem(spark, sf_dir).where("label = 1").select(
+        F.lit(9).alias("ordinal"), F.lit("returned_only").alias("model"), "label", F.col("coarse").alias("score"))
+    metrics = binary_metrics(rows.unionByName(one_class), "label", "score", by=["ordinal", "model"])
+    folder = shared_folder(spark, "comparison")
+    write_comparison_json(compare_models(metrics, "roc_auc"), folder)
+    found = spark.read.json(folder)
+    order = F.array_join("order", ",").alias("ranked_names")
+    each = found.select("ranking_metric", order, F.array_join("unranked", ",").alias("unranked_names"),
+                        F.posexplode("evaluations").alias("place", "e"))
+    return each.select(
+        "ranking_metric", "ranked_names", "unranked_names", "place", F.col("e.model").alias("model"),
+        *[F.round(f"e.{c}", DIGITS).alias(c) for c in COMPARED], F.col("e.n_samples").alias("n_samples"))
+
+
+_WITH_UNRANKED_SQL = f"""
+    SELECT model, ordinal, {", ".join(COMPARED)}, n_samples FROM ({METRICS_BY_MODEL_SQL})
+    UNION ALL SELECT 'returned_only', 9, {", ".join(COMPARED)}, n_samples
+    FROM ({_metrics_sql(f"SELECT label, coarse AS score FROM ({SCORED_SQL}) WHERE label = 1")})
+"""
+COMPARISON_JSON_SQL = f"""
+    WITH m AS ({_WITH_UNRANKED_SQL})
+    SELECT 'roc_auc' AS ranking_metric,
+           (SELECT string_agg(model, ',' ORDER BY roc_auc DESC, ordinal) FROM m WHERE roc_auc IS NOT NULL) AS ranked_names,
+           (SELECT string_agg(model, ',' ORDER BY ordinal) FROM m WHERE roc_auc IS NULL) AS unranked_names,
+           CAST(row_number() OVER (ORDER BY roc_auc DESC NULLS LAST, ordinal) - 1 AS INTEGER) AS place,
+           model, {", ".join(COMPARED)}, n_samples
+    FROM m
+"""
+
 QUERIES = {
+    "aligned_by_position": aligned_by_position,
+    "stacked_evaluations": stacked_evaluations,
+    "comparison_json": comparison_json,
     "hard_predictions": predictions,
     "confusion_counts": confusion,
     "confusion_matrix": confusion_matrix,
@@ -320,6 +397,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "aligned_by_position": POSITION_SQL,
+    "stacked_evaluations": STACKED_SQL,
+    "comparison_json": COMPARISON_JSON_SQL,
     "hard_predictions": PREDICTIONS_SQL,
     "confusion_counts": CONFUSION_SQL,
     "confusion_matrix": CONFUSION_MATRIX_SQL,
