@@ -277,7 +277,18 @@ def classify_quality(docs: DataFrame, fit_rows: int = FIT_ROWS,
         judge, f"doc_id {kind}, score double, kept boolean")
 
 
-def keep_quality(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of ``docs`` that the classifier keeps, with all their columns."""
-    kept = classify_quality(docs, **settings).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept.distinct(), docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+def keep_quality(docs: DataFrame, fit_rows: int = FIT_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the classifier keeps, with all their columns.
+
+    Each row is judged by its own text as it passes, so rows that share an id, or have
+    none, do not speak for each other, and nothing is joined.
+    """
+    scorer, _ = train_scorer(docs, fit_rows)
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [scorer.score(look(value.as_py() or "")) >= threshold for value in batch.column(place)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
