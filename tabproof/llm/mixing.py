@@ -76,6 +76,12 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS,
     )
 
 
+def _identity() -> Column:
+    """Digest of a document's id, source and text; null and empty ones differ."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in ("doc_id", "source", "text")]
+    return F.unhex(F.md5(F.concat_ws("\x00", *parts)))
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
                 most: int = MOST_COPIES, seed: str = "mix") -> DataFrame:
     """One row per document: ``doc_id, size, source_size, target, taken, copies``.
@@ -83,14 +89,21 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     ``size`` is the number of words, ``taken`` the words the mix takes of the document with
     repeats, ``copies`` how often it is taken (never above ``most``). Sources are ranked by
     code point with null last and get ``weights`` in turn. Null and empty texts have size 0;
-    such documents are drawn like others and add no words. Documents equal in source, size
-    and id are interchangeable. A run with the same rows and ``seed`` gives the same result.
-    An empty table gives no rows; other columns are not looked at.
+    such documents are drawn like others and add no words. Documents without an id are drawn
+    by their text; those equal in source, size and draw are interchangeable. A run with the
+    same rows and ``seed`` gives the same result. An empty table gives no rows; other columns
+    are not looked at.
     """
+    return _mixed(docs, weights, most, seed, F.lit(None).cast("binary")).drop("mark")
+
+
+def _mixed(docs: DataFrame, weights: Sequence[float], most: int, seed: str, mark: Column) -> DataFrame:
+    """:func:`mix_sources` with a ``mark`` of each document, which also settles ties."""
+    drawn_by = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce("text", F.lit("")))))
     thin = spool(
         docs.select(
             "doc_id", "source", word_count(F.col("text")).alias("size"),
-            F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("draw"),
+            F.md5(F.concat(F.lit(f"{seed}:"), drawn_by)).alias("draw"), mark.alias("mark"),
         ),
         "mix-sizes",
     ).withColumn("part", F.substring("draw", 1, 2))
@@ -110,7 +123,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     starts = spool(_beside(starts, targets, ["source"]).select(
         "source", "size", "part", "source_size", "target",
         (F.col("before_size") + F.col("before_part")).alias("start")), "mix-starts")
-    bucket = Window.partitionBy("source", "size", "part").orderBy("draw", "doc_id")
+    bucket = Window.partitionBy("source", "size", "part").orderBy("draw", "doc_id", "mark")
     ranked = _beside(thin.withColumn("place", F.row_number().over(bucket)), starts,
                      ["source", "size", "part"])
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -119,7 +132,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
     crossed = F.floor(rank * share + offset) - F.floor((rank - 1) * share + offset)
     return ranked.withColumn("copies", crossed.cast("bigint")).select(
         "doc_id", "size", "source_size", "target",
-        (F.col("size") * F.col("copies")).alias("taken"), "copies")
+        (F.col("size") * F.col("copies")).alias("taken"), "copies", "mark")
 
 
 def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -131,15 +144,17 @@ def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(renamed, on).drop(*[f"_{k}" for k in keys])
 
 
-def take_mix(docs: DataFrame, **settings) -> DataFrame:
+def take_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS,
+             most: int = MOST_COPIES, seed: str = "mix") -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its document is taken.
 
-    Documents are matched by id; rows repeating an id are all taken as often as the first
-    of them.
+    Documents are matched by id, source and text together. Rows that repeat all three are
+    one document here, taken as often as the mix takes them in all.
     """
-    mixed = mix_sources(docs, **settings).groupBy(F.col("doc_id").alias("_mix_id")).agg(
-        F.max("copies").alias("_mix_copies"))
-    joined = docs.join(mixed.where("_mix_copies > 0"), docs["doc_id"].eqNullSafe(F.col("_mix_id")))
-    repeated = joined.select(*[docs[f"`{c}`"] for c in docs.columns],
+    copies = _mixed(docs, weights, most, seed, _identity()).groupBy(F.col("mark").alias("_of_mark")).agg(
+        F.sum("copies").cast("int").alias("_mix_copies")).where("_mix_copies > 0")
+    marked = docs.withColumn("_mix_mark", _identity()).dropDuplicates(["_mix_mark"])
+    joined = marked.join(copies, F.col("_mix_mark") == F.col("_of_mark"))
+    repeated = joined.select(*[F.col(f"`{c}`") for c in docs.columns],
                              F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))).alias("_mix_copy"))
     return repeated.drop("_mix_copy")

@@ -121,7 +121,7 @@ def op8_mixing(spark, sf_dir):
 
 OP8_SQL = r"""
     WITH d AS (
-        SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS draw,
+        SELECT doc_id, source, md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'text:' || md5(coalesce(text, '')))) AS draw,
                CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
         FROM documents
     ), s AS (

@@ -57,3 +57,17 @@ def test_stage_repeats_rows(docs, no_docs):
         if doc_id not in (None, 9):  # ids that stand for several rows
             assert n == copies[doc_id]
     assert mix_sources(no_docs).count() == take_mix(no_docs).count() == 0
+
+
+def test_stage_takes_what_the_mix_says(spark, words):
+    """Rows without id, under one id, and repeated ones: as many rows as copies in all."""
+    rows = [(None, words(5 + i % 9, i), "en", "abc"[i % 3], i) for i in range(90)]
+    rows += [(7, words(6 + i % 5, 200 + i), "en", "ab"[i % 2], i) for i in range(40)]
+    rows += [(8, words(9, 300), "en", "a", 1)] * 5 + [(9, None, "en", None, 1), (9, "", "en", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    mixed = mix_sources(docs)
+    assert mixed.count() == len(rows)
+    left = take_mix(docs.repartition(3))
+    assert left.count() == mixed.agg({"copies": "sum"}).first()[0]
+    texts = {t for _, t, *_ in rows}
+    assert {r["text"] for r in left.collect()} <= texts
