@@ -1,10 +1,11 @@
 """BPE encoding and decoding with an index of pair occurrences.
 
-Documents never leave their partition. A task collects the distinct words that it has not
-met yet, lays their symbols end to end, and maps each mergeable pair to all its positions.
-The active pair of lowest rank is merged wherever it occurs; that touches only the lists
-of the pairs left and right of each merge. Words met before come from a table, so the
-index works on distinct words, whatever the number of documents.
+Documents never leave their partition. A task takes its documents in slices, collects the
+distinct words that it has not met yet, lays their symbols end to end, and maps each
+mergeable pair to all its positions. The active pair of lowest rank is merged wherever it
+occurs; that touches only the lists of the pairs left and right of each merge. Words met
+before come from a table, so the index works on distinct words, whatever the number of
+documents.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from pyspark.sql import functions as F
 #: table of known words before it starts anew. Both bound memory and change no result.
 SLICE_CHARS = 8_000_000
 KNOWN_CHARS = 16_000_000
+#: Bytes of a word from which on it is merged by itself where its places cannot be merged
+#: together: turn by turn, the others of its places would be looked at again and again.
+LONG_WORD = 256
 #: Capitals that the tokenizer lowers and Python's tables do not know yet.
 _NEW_CAPITALS = {
     0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3,
@@ -103,6 +107,8 @@ class Vocabulary:
         keys = np.array([(left << 32) | right for left, right, _ in self.merges], np.int64)
         self.pair_ranks = np.argsort(keys)
         self.pairs = keys[self.pair_ranks]
+        #: Ranks by pair, for words that are merged by themselves.
+        self.known_ranks = {(left, right): rank for rank, (left, right, _) in enumerate(self.merges)}
         self.split_special = re.compile(
             "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)))
 
@@ -120,6 +126,30 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def merge_alone(symbols: list[int], vocab: Vocabulary) -> list[int]:
+    """``symbols`` of one word merged to the end; the lowest rank first, then the leftmost."""
+    size = len(symbols)
+    following, previous = list(range(1, size)) + [-1], list(range(-1, size - 1))
+    ranks = vocab.known_ranks
+    heap = [(ranks[pair], i) for i, pair in enumerate(zip(symbols, symbols[1:])) if pair in ranks]
+    heapq.heapify(heap)
+    while heap:
+        rank, at = heapq.heappop(heap)
+        left, right, merged = vocab.merges[rank]
+        after = following[at]
+        if symbols[at] != left or after < 0 or symbols[after] != right:
+            continue
+        symbols[at], symbols[after] = merged, -1
+        following[at] = beyond = following[after]
+        if beyond >= 0:
+            previous[beyond] = at
+            if (found := ranks.get((merged, symbols[beyond]))) is not None:
+                heapq.heappush(heap, (found, at))
+        if (before := previous[at]) >= 0 and (found := ranks.get((symbols[before], merged))) is not None:
+            heapq.heappush(heap, (found, before))
+    return [x for x in symbols if x >= 0]
+
+
 def merge_words(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
     """Ids of each word (its UTF-8 bytes, not empty) as little-endian 32-bit integers."""
     if not words:
@@ -148,7 +178,7 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
                 known.append(at)
 
     def merge(at: np.ndarray, merged: int) -> None:
-        """Merge the pairs at these positions, none of which touch, and update the index."""
+        """Merge the pairs at these positions, none of which overlap, and update the index."""
         after = following[at]
         symbols[at], symbols[after] = merged, -1
         beyond = following[after]
@@ -158,6 +188,27 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
         before = previous[at]
         note(np.unique(np.concatenate([before[before >= 0], at[open_right]])))
 
+    def brought_forth(at: np.ndarray, merged: int) -> np.ndarray:
+        """Lowest rank of the two pairs that each merge makes, those on its left being done."""
+        before, beyond = previous[at], following[following[at]]
+        joined = np.concatenate([[False], following[following[at[:-1]]] == at[1:]])
+        left = np.where(joined, merged, symbols[before])
+        none = len(vocab.merges)
+
+        def ranks(left, right, there):
+            found = vocab.rank(np.broadcast_to(left, at.shape), np.broadcast_to(right, at.shape))
+            return np.where(there & (found >= 0), found, none)
+
+        return np.minimum(ranks(left, merged, before >= 0), ranks(merged, symbols[beyond], beyond >= 0))
+
+    def finish(word: int) -> None:
+        """Merge all that is left of one word by itself, place by place."""
+        at = np.flatnonzero(symbols[starts[word]:ends[word]] >= 0) + starts[word]
+        left = merge_alone(symbols[at].tolist(), vocab)
+        symbols[starts[word]:ends[word]] = -1
+        symbols[starts[word]:starts[word] + len(left)] = left
+        following[starts[word]:ends[word]] = -1
+
     note(np.flatnonzero(following >= 0))
     while active:
         rank = heapq.heappop(active)
@@ -167,15 +218,31 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[bytes]:
         at = at[(symbols[at] == left) & (after >= 0) & (symbols[after] == right)]
         if not len(at):
             continue
-        if left == right or vocab.lowest[merged] < rank:
-            # Neighbouring places may overlap, or a merge may bring forth a pair that
-            # goes first: take the first place of each word now and the rest in turn.
-            word = np.searchsorted(starts, at, side="right")
-            first = np.concatenate([[True], word[1:] != word[:-1]])
-            if not first.all():
-                places[rank] = at[~first].tolist()
-                heapq.heappush(active, rank)
-            at = at[first]
+        every = at
+        if left == right:
+            # In a run of one symbol each second place is merged, from the left.
+            touches = np.concatenate([[False], at[1:] == following[at[:-1]]])
+            run = np.flatnonzero(~touches)
+            at = at[(np.arange(len(at)) - run[np.cumsum(~touches) - 1]) % 2 == 0]
+        if vocab.lowest[merged] < rank:
+            # A merge may bring forth a pair that goes before the places on its right.
+            first = at[brought_forth(at, merged) < rank]
+            words_of_first, order = np.unique(np.searchsorted(starts, first, side="right") - 1, return_index=True)
+            ends_turn = np.full(len(starts), len(symbols))
+            ends_turn[words_of_first] = first[order]
+            limit, rest_limit = (ends_turn[np.searchsorted(starts, x, side="right") - 1] for x in (at, every))
+            at, rest = at[at <= limit], every[every > rest_limit]
+            if len(rest):
+                word = np.searchsorted(starts, rest, side="right") - 1
+                long = np.unique(word[ends[word] - starts[word] > LONG_WORD])
+                for number in long.tolist():
+                    finish(number)
+                at = at[~np.isin(np.searchsorted(starts, at, side="right") - 1, long)]
+                if len(rest := rest[~np.isin(word, long)]):
+                    places[rank] = rest.tolist()
+                    heapq.heappush(active, rank)
+                if not len(at):
+                    continue
         merge(at, merged)
     alive = symbols >= 0
     ids = symbols[alive].astype("<u4").tobytes()
