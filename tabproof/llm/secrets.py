@@ -2,9 +2,10 @@
 
 A worklist starts with the whole text. Every layer taken from it is searched, then
 unwrapped: percent escapes, Unicode escapes and character references give a new layer of
-the same length or less, runs of base64 give layers of bytes, a character each, and gzip,
-zlib, bzip2 or xz data in those is expanded. Layers go on the list until none is new. Each layer carries where
-its characters come from, so that a finding is reported by its place in the original.
+the same length or less, runs of base64 give layers of bytes, a character each. Bytes that
+hold characters of two bytes give a layer of those, and gzip, zlib, deflate, bzip2 or xz
+data is expanded. Layers go on the list until none is new. Each layer can tell where its characters come from in the
+one below, so that a finding is reported by its place in the original.
 """
 
 from __future__ import annotations
@@ -16,11 +17,12 @@ import html
 import lzma
 import re
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass
 from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,52 +36,115 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _ASSIGN_CHARS, _ACCESS_CHARS = 8, 16
 
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_UNICODE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+"
-    r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+_PERCENT = re.compile(r"%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2})*")
+_ESCAPES = re.compile(
+    r"\\(?:u[0-9A-Fa-f]{4}(?:\\u[0-9A-Fa-f]{4})*|u\{[0-9A-Fa-f]{1,6}\}|U[0-9A-Fa-f]{8}"
+    r"|x[0-9A-Fa-f]{2}(?:\\x[0-9A-Fa-f]{2})*)")
+_REFERENCES = re.compile(r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Base64 wrapped over lines; line breaks may be written as escapes.
+#: Base64 wrapped over lines; line breaks may be written as escapes. A run is tried from
+#: its first letter only and never given back, so the search is linear.
 _WRAPPED = re.compile(
-    r"[A-Za-z0-9+/_-]{4,}(?:[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
-_BREAK = re.compile(r"[ \t]*(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*")
-#: Where bytes may be compressed, and whether they can hold anything that is looked for.
-_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|x[\x01\x5e\x9c\xda]")
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}+"
+    r"(?:[ \t]*+(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_BREAK = re.compile(r"[ \t]*+(?:\r?\n|\r|(?:\\r)?\\n)[ \t]*+")
+#: The two bytes that can begin zlib data: deflate, any window, a sound check, no dictionary.
+_ZLIB = b"|".join(
+    re.escape(bytes((method,))) + b"[" + b"".join(
+        b"\\x%02x" % flags for flags in range(256) if (method * 256 + flags) % 31 == 0 and not flags & 0x20) + b"]"
+    for method in range(0x08, 0x80, 0x10))
+#: Where bytes may be compressed.
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|(?:" + _ZLIB + rb")")
+#: Bytes with characters of two bytes each, one of them zero.
+_WIDE = re.compile(rb"(?:[\x09-\x7e]\x00){8}|(?:\x00[\x09-\x7e]){8}")
+#: Bytes that can hold something that is looked for, compressed data apart.
 _WORTH = re.compile(
-    rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}"
-    rb"|[A-Za-z0-9+/_-]{4}[ \t]*(?:[\r\n]|\\[rn])|" + _MAGIC.pattern)
+    rb"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{32}|%[0-9A-Fa-f]{2}|\\[uUx]|&[#A-Za-z]|[A-Za-z0-9+/_-]{16}"
+    rb"|[A-Za-z0-9+/_-]{4}[ \t]*(?:[\r\n]|\\[rn])")
 #: Bytes of one expanded layer. Data that expands beyond it is searched in overlapping
 #: layers of this size, one at a time, and reported as ``oversize`` as well: what is
 #: compressed once more inside may be cut there.
 LAYER_BYTES = 64 * 1024 * 1024
 OVERLAP_BYTES = 1024 * 1024
+#: Bytes that deflate without a header has to give.
+LEAST_BARE = 12
 #: Bytes that a decompressor is given and asked for at a time.
 _FEED, _PIECE = 4096, 1024 * 1024
 
 
-@dataclass(frozen=True)
 class Layer:
-    """Decoded text and its origin: character ``starts[i]`` on begins at ``origin[i]``.
+    """A decoded text that knows where its characters come from.
 
-    Inside a piece of step 1 characters move with the original; of step 0 all of them come
-    from the whole span ``origin[i]`` to ``ends[i]``.
+    This one is the original itself.
     """
 
-    text: str
-    starts: tuple[int, ...]
-    origin: tuple[int, ...]
-    ends: tuple[int, ...]
-    steps: tuple[int, ...]
     #: Whether each character is a byte.
-    raw: bool = False
+    raw = False
+
+    def __init__(self, text: str) -> None:
+        self.text = text
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         """Place in the original text of the characters ``start`` to ``end``."""
+        return start, end
+
+
+class Replaced(Layer):
+    """A layer with runs of escapes decoded: piece ``i`` begins at character ``starts[i]`` and
+    at ``origin[i]`` of the layer below, where it ends at ``ends[i]``. A decoded run comes
+    from the whole of its escapes, other pieces character by character."""
+
+    def __init__(self, below: Layer, text: str, starts: array, origin: array, ends: array, decoded: bytes) -> None:
+        super().__init__(text)
+        self.below, self.starts, self.origin, self.ends, self.decoded = below, starts, origin, ends, decoded
+
+    def span(self, start, end):
         first, last = bisect_right(self.starts, start) - 1, bisect_right(self.starts, end - 1) - 1
-        begin = self.origin[first] + self.steps[first] * (start - self.starts[first])
-        if self.steps[last]:
-            return begin, self.origin[last] + end - self.starts[last]
-        return begin, self.ends[last]
+        begin = self.origin[first] + (0 if self.decoded[first] else start - self.starts[first])
+        stop = self.ends[last] if self.decoded[last] else self.origin[last] + end - self.starts[last]
+        return self.below.span(begin, stop)
+
+
+class Bytes(Layer):
+    """Bytes of base64, a character each: six bits of every letter from ``skip`` on. Piece
+    ``i`` of the letters begins at ``firsts[i]`` and at ``places[i]`` of the layer below."""
+
+    raw = True
+
+    def __init__(self, below: Layer, text: str, firsts: list[int], places: list[int], skip: int) -> None:
+        super().__init__(text)
+        self.below, self.firsts, self.places, self.skip = below, firsts, places, skip
+
+    def _place(self, letter: int) -> int:
+        k = bisect_right(self.firsts, letter) - 1
+        return self.places[k] + letter - self.firsts[k]
+
+    def span(self, start, end):
+        return self.below.span(self._place(self.skip + start * 8 // 6), self._place(self.skip - (-end * 8 // 6) - 1) + 1)
+
+
+class Wide(Layer):
+    """Every second byte of a layer of bytes, from ``first`` on."""
+
+    def __init__(self, below: Layer, text: str, first: int) -> None:
+        super().__init__(text)
+        self.below, self.first = below, first
+
+    def span(self, start, end):
+        return self.below.span(self.first + 2 * start, self.first + 2 * end - 1)
+
+
+class Expanded(Layer):
+    """Bytes that were compressed: all of them come from one place of the original."""
+
+    raw = True
+
+    def __init__(self, text: str, place: tuple[int, int]) -> None:
+        super().__init__(text)
+        self.place = place
+
+    def span(self, start, end):
+        return self.place
 
 
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
@@ -113,37 +178,27 @@ def _unescape(run: str) -> str:
 
 
 def _replaced(layer: Layer, pattern: re.Pattern) -> Layer | None:
-    """``layer`` with the runs of ``pattern`` decoded; null if there is none."""
-    pieces, starts, origin, ends, steps = [], [], [], [], []
+    """``layer`` with the runs of ``pattern`` decoded; null if that changes nothing."""
+    pieces, starts, origin, ends, decoded = [], array("q"), array("q"), array("q"), bytearray()
     at = length = 0
 
-    def put(piece: str, begin: int, stop: int, step: int) -> None:
+    def put(piece: str, begin: int, stop: int, is_decoded: bool) -> None:
         nonlocal length
         if piece:
             pieces.append(piece)
             starts.append(length)
             origin.append(begin)
             ends.append(stop)
-            steps.append(step)
+            decoded.append(is_decoded)
             length += len(piece)
 
-    def copy(begin: int, stop: int) -> None:
-        """What no run covers keeps the pieces it had."""
-        while begin < stop:
-            k = bisect_right(layer.starts, begin) - 1
-            edge = min(stop, layer.starts[k + 1] if k + 1 < len(layer.starts) else stop)
-            place = layer.span(begin, edge)
-            put(layer.text[begin:edge], *place, layer.steps[k])
-            begin = edge
-
     for match in pattern.finditer(layer.text):
-        copy(at, match.start())
-        put(_unescape(match.group()), *layer.span(*match.span()), 0)
+        put(layer.text[at:match.start()], at, match.start(), False)
+        put(_unescape(match.group()), *match.span(), True)
         at = match.end()
-    if at == 0:
-        return None
-    copy(at, len(layer.text))
-    return Layer("".join(pieces), tuple(starts), tuple(origin), tuple(ends), tuple(steps))
+    put(layer.text[at:], at, len(layer.text), False)
+    text = "".join(pieces)
+    return None if text == layer.text else Replaced(layer, text, starts, origin, ends, bytes(decoded))
 
 
 def _worker(data: bytes):
@@ -163,11 +218,18 @@ class _Expansion:
     ``end`` is the place after the last byte that was read.
     """
 
-    def __init__(self, data: bytes, start: int) -> None:
-        self.data, self.end = data, start
+    def __init__(self, data: bytes, start: int, bare: bool = False) -> None:
+        self.data, self.end, self.bare = data, start, bare
+
+    def _worker(self, start: int):
+        """A decompressor for what starts here. ``bare`` deflate has no mark of its own and
+        is taken to start where the data does."""
+        if self.bare:
+            return zlib.decompressobj(-15) if start == 0 else None
+        return _worker(self.data[start:start + 8])
 
     def _member(self, start: int, feed: int) -> Iterator[bytes]:
-        worker, at = _worker(self.data[start:start + 8]), start
+        worker, at = self._worker(start), start
         while not worker.eof and at < len(self.data):
             given = self.data[at:at + feed]
             at += len(given)
@@ -179,7 +241,7 @@ class _Expansion:
             self.end = at - len(worker.unused_data)
 
     def pieces(self) -> Iterator[bytes]:
-        while _worker(self.data[self.end:self.end + 8]) is not None:
+        while self._worker(self.end) is not None:
             start, given = self.end, 0
             try:
                 for piece in self._member(start, _FEED):
@@ -200,13 +262,17 @@ class _Expansion:
 def _expanded(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
     """Layers for the compressed data in a layer of bytes; a span where there are several."""
     data = layer.text.encode("latin-1")
+    if isinstance(layer, Bytes):
+        yield from _bare_deflate(layer, data)
     match = _MAGIC.search(data)
     while match:
+        if not _begins(data, match.start()):
+            match = _MAGIC.search(data, match.start() + 1)
+            continue
         expansion, held, large = _Expansion(data, match.start()), bytearray(), False
 
         def made(expansion=expansion, start=match.start()) -> Layer:
-            begin, stop = layer.span(start, max(expansion.end, start + 1))
-            return Layer(held.decode("latin-1"), (0,), (begin,), (stop,), (0,), True)
+            return Expanded(held.decode("latin-1"), layer.span(start, max(expansion.end, start + 1)))
 
         for piece in expansion.pieces():
             held += piece
@@ -222,6 +288,42 @@ def _expanded(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
         match = _MAGIC.search(data, max(expansion.end, match.start() + 1) if held else match.start() + 1)
 
 
+def _begins(data: bytes, start: int) -> bool:
+    """Whether the first bytes of compressed data are sound; most chance marks are not."""
+    try:
+        _worker(data[start:start + 8]).decompress(data[start:start + 64], 64)
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+        return data[start] & 0x0F != 8  # only zlib has a mark as short as that
+    return True
+
+
+def _bare_deflate(layer: Layer, data: bytes) -> Iterator[Layer]:
+    """Deflate without a header: any bytes may begin like it, so only what is sound from
+    the start to an end mark, or long, counts."""
+    expansion, held = _Expansion(data, 0, True), bytearray()
+    for piece in expansion.pieces():
+        held += piece
+        if len(held) > LAYER_BYTES:
+            yield Expanded(held.decode("latin-1"), layer.span(0, len(data)))
+            held = held[-OVERLAP_BYTES:]
+    if len(held) >= LEAST_BARE:
+        yield Expanded(held.decode("latin-1"), layer.span(0, max(expansion.end, 1)))
+
+
+def _wide(layer: Layer) -> Iterator[Layer]:
+    """Characters of two bytes, whichever of them comes first."""
+    data = layer.text.encode("latin-1")
+    if not _WIDE.search(data):
+        return
+    letters = np.frombuffer(data, np.uint8)
+    zero = np.zeros(len(letters) + 2, bool)
+    zero[1:-1] = letters == 0
+    for first in (0, 1):
+        at = np.arange(first, len(letters), 2)
+        own = np.where(zero[at] | zero[at + 2], letters[at], ord("?")).astype(np.uint8)
+        yield Wide(layer, own.tobytes().decode("latin-1"), first)
+
+
 def _letters(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
     """Letters of each run of base64, and where its pieces start in the run and in the text."""
     for match in _BASE64.finditer(text):
@@ -249,26 +351,25 @@ def _encoded(layer: Layer) -> Iterator[Layer]:
             run = letters[skip:]
             run = run[:-1] if len(run) % 4 == 1 else run
             data = base64.b64decode(run + "=" * (-len(run) % 4))
-            if not _WORTH.search(data):
-                continue
+            if _WORTH.search(data) or _MAGIC.search(data) or _WIDE.search(data) or _is_deflate(data):
+                yield Bytes(layer, data.decode("latin-1"), firsts, [p[1] for p in places], skip)
 
-            def place(letter: int) -> int:
-                k = bisect_right(firsts, letter) - 1
-                return places[k][1] + letter - firsts[k]
 
-            # Six bits a letter: the letters that hold each byte.
-            spans = [layer.span(place(skip + k * 8 // 6), place(skip - (-(k + 1) * 8 // 6) - 1) + 1)
-                     for k in range(len(data))]
-            yield Layer(data.decode("latin-1"), tuple(range(len(data))), tuple(a for a, _ in spans),
-                        tuple(b for _, b in spans), (0,) * len(data), True)
+def _is_deflate(data: bytes) -> bool:
+    """Whether bare deflate may start here, by what a few bytes give."""
+    try:
+        return len(zlib.decompressobj(-15).decompress(data[:256], LEAST_BARE)) >= LEAST_BARE
+    except zlib.error:
+        return False
 
 
 def _unwrapped(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
-    for opener, pattern in (("%", _PERCENT), ("\\", _UNICODE), ("&#", _UNICODE)):
+    for opener, pattern in (("%", _PERCENT), ("\\", _ESCAPES), ("&", _REFERENCES)):
         if opener in layer.text and (inner := _replaced(layer, pattern)) is not None:
             yield inner
     yield from _encoded(layer)
     if layer.raw:
+        yield from _wide(layer)
         yield from _expanded(layer)
 
 
@@ -276,7 +377,7 @@ def scan_text(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, in
     """Findings in the text as it stands, and all findings, each by place in the original."""
     base = find_secrets(text)
     found = {*base}
-    whole = Layer(text, (0,), (0,), (len(text),), (1,))
+    whole = Layer(text)
     # What a layer unwraps to is made when its turn comes, so few layers are held at a time.
     waiting, known = [iter([whole])], set()
     while waiting:

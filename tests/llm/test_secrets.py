@@ -3,7 +3,9 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -12,7 +14,17 @@ import pytest
 from tabproof.llm.secrets import find_secrets, listed, scan_secrets, scan_text
 
 SECRET = "password = hunter2hunter2"
+def bare(data, level=9, window=-15):
+    worker = zlib.compressobj(level, zlib.DEFLATED, window)
+    return worker.compress(data) + worker.flush()
+
+
 WRAPPED = {
+    "utf-16-le": base64.b64encode(SECRET.encode("utf-16-le")).decode(),
+    "utf-16-be": base64.b64encode(SECRET.encode("utf-16-be")).decode(),
+    "bare deflate": base64.b64encode(bare(SECRET.encode())).decode(),
+    "zlib of a small window": base64.b64encode(bare(SECRET.encode(), 9, 9)).decode(),
+    "gzip of utf-16 of base64": base64.b64encode(gzip.compress(base64.b64encode(SECRET.encode()).decode().encode("utf-16"))).decode(),
     "url": urllib.parse.quote(SECRET),
     "url twice": urllib.parse.quote(urllib.parse.quote(SECRET)),
     "base64": base64.b64encode(SECRET.encode()).decode(),
@@ -115,3 +127,47 @@ def test_oversize_data_is_searched(monkeypatch):
     for n in (0, 980, 990, 995, 1000, 4000, 9000):
         text = base64.b64encode(gzip.compress(b"x" * n + b" " + SECRET.encode() + b" " + b"x" * 3000)).decode()
         assert {s[0] for s in scan_text(text)[1]} == {"assign", "oversize"}
+
+
+def test_named_references():
+    text = "x password&equals;hunter2hunter2 &unknown; y"
+    base, found = scan_text(text)
+    assert base == [] and found == [("assign", 2, 32)]
+    assert scan_text("a &amp; b &lt;c&gt; &nosuchname;")[1] == []
+
+
+ENCODERS = [
+    lambda t: urllib.parse.quote(t), lambda t: base64.b64encode(t.encode()).decode(),
+    lambda t: base64.b64encode(gzip.compress(t.encode())).decode(), lambda t: base64.b64encode(bare(t.encode())).decode(),
+    lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"&#x{ord(c):x};" for c in t),
+    lambda t: base64.b64encode(t.encode("utf-16-le")).decode(), lambda t: base64.b64encode(lzma.compress(t.encode())).decode(),
+]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_layers_in_any_order(seed):
+    """Whatever the wrapping, the secret is found inside its wrapped form and nowhere else."""
+    rng = random.Random(seed)
+    wrapped = f"note {SECRET} end"
+    for _ in range(rng.randint(1, 4)):
+        wrapped = rng.choice(ENCODERS)(wrapped)
+    text = f"é plain words, {wrapped} more words"
+    begin = text.index(wrapped)
+    base, found = scan_text(text)
+    assert found and {kind for kind, *_ in found} == {"assign"}
+    assert all(begin <= a < b <= begin + len(wrapped) for _, a, b in found)
+
+
+def test_long_runs_take_linear_time():
+    """Millions of letters of base64 in one line, in wrapped lines, and of one kind."""
+    data = random.Random(1).randbytes(1_500_000)
+    one = base64.b64encode(data).decode()
+    started = time.perf_counter()
+    scan_text(f"data:image/png;base64,{one}")
+    scan_text("\n".join(one[i:i + 76] for i in range(0, len(one) // 2, 76)))
+    scan_text("A" * 1_000_000)
+    scan_text("a-" * 500_000 + " " + "=" * 100_000 + "%41" * 100_000)
+    assert time.perf_counter() - started < 60
+    inside = base64.b64encode(data[:300_000] + SECRET.encode() + data[300_000:600_000]).decode()
+    (kind, a, b), = [f for f in scan_text(inside)[1] if f[0] == "assign"]
+    assert (a, b) == (400_000, 400_000 + -(-len(SECRET) * 8 // 6))
