@@ -71,7 +71,7 @@ def op7_url_filter(spark, sf_dir):
     return filter_urls(_table(spark, sf_dir, "pages"))
 
 
-# The pages' links are taken by the same two tags; the closure walks them both ways.
+# The pages' links are taken from the same attributes; the closure walks them both ways.
 OP7_SQL = r"""
     WITH RECURSIVE u AS (
         SELECT page_id, html, coalesce(url, '') AS url,
@@ -80,12 +80,22 @@ OP7_SQL = r"""
                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
                regexp_extract(coalesce(url, ''), '(?s)^([^#]*)', 1) AS node
         FROM pages
+    ), tag AS (
+        SELECT node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM u
+    ), attribute AS (
+        SELECT node, tag, regexp_extract(tag, '(?is)[\s"''/]rel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c']) AS rel,
+               regexp_extract(tag, '(?is)[\s"''/]href\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c']) AS href,
+               regexp_extract(tag, '(?is)[\s"''/]http-equiv\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c']) AS equiv,
+               regexp_extract(tag, '(?is)[\s"''/]content\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', ['a', 'b', 'c']) AS content
+        FROM tag
     ), link AS (
-        SELECT node, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\bcanonical\b[^>]*>'),
-                                    '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS target FROM u
+        SELECT DISTINCT node, href.a || href.b || href.c AS target FROM attribute
+        WHERE tag ILIKE '<link%' AND list_contains(
+            string_split_regex(lower(rel.a || rel.b || rel.c), '\s+'), 'canonical')
         UNION
-        SELECT node, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\brefresh\b[^>]*>'),
-                                    '(?is)\burl\s*=\s*["'']?([^"''\s>]+)', 1) FROM u
+        SELECT node, regexp_extract(content.a || content.b || content.c,
+                                    '(?is)\burl\s*=\s*["'']?([^"''>\s]+)', 1) FROM attribute
+        WHERE tag ILIKE '<meta%' AND trim(lower(equiv.a || equiv.b || equiv.c)) = 'refresh'
     ), edge AS (
         SELECT node AS a, regexp_extract(target, '(?s)^([^#]*)', 1) AS b FROM link WHERE target != ''
         UNION

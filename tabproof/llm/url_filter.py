@@ -77,9 +77,9 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    quoted = F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']([^"']*)""", 1)
-    bare = F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*([^\s"'>]+)""", 1)
-    return F.when(quoted != "", quoted).otherwise(bare)
+    """Value of an attribute of a tag, quoted or bare; empty if the tag has none."""
+    pattern = rf"""(?is)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
 
 
 def _absolute(base: Column, link: Column) -> Column:
@@ -96,16 +96,26 @@ def _absolute(base: Column, link: Column) -> Column:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``from_url, to_url``: the canonical link and the redirect that each page states."""
+    """``from_url, to_url``: all canonical links and redirects that each page states.
+
+    A link tag counts if ``canonical`` is a word of its ``rel``, a meta tag if its
+    ``http-equiv`` is ``refresh``, wherever else these words stand.
+    """
     html = F.coalesce(F.col("html"), F.lit(""))
     base = F.coalesce(F.col("url"), F.lit(""))
-    canonical = F.regexp_extract(html, r"(?is)<link\b[^>]*\bcanonical\b[^>]*>", 0)
-    refresh = F.regexp_extract(html, r"(?is)<meta\b[^>]*\brefresh\b[^>]*>", 0)
-    target = F.regexp_extract(refresh, r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)""", 1)
+    links = F.filter(
+        F.regexp_extract_all(html, F.lit(r"(?is)<link\b[^>]*>"), F.lit(0)),
+        lambda tag: F.array_contains(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), "canonical"))
+    metas = F.filter(
+        F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*>"), F.lit(0)),
+        lambda tag: F.trim(F.lower(_attribute(tag, "http-equiv"))) == "refresh")
+    targets = F.concat(
+        F.transform(links, lambda tag: _attribute(tag, "href")),
+        F.transform(metas, lambda tag: F.regexp_extract(
+            _attribute(tag, "content"), r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)""", 1)))
+    # Outer, or Spark would test the size of the targets before and work them out twice.
     links = pages.where(html.rlike("(?i)canonical|refresh")).select(
-        base.alias("from_url"),
-        F.explode(F.array(_attribute(canonical, "href"), target)).alias("link"),
-    )
+        base.alias("from_url"), F.explode_outer(targets).alias("link"))
     link = F.replace(F.trim("link"), F.lit("&amp;"), F.lit("&"))
     return links.where(link != "").select(
         url_node(F.col("from_url")).alias("from_url"),

@@ -1,6 +1,8 @@
 import itertools
 import random
 
+from pyspark.sql import functions as F
+
 from tabproof.llm.components import connected_components
 from tabproof.llm.url_filter import filter_urls
 
@@ -40,6 +42,31 @@ def test_blocks_reach_aliases_and_an_allow_stays(spark):
     assert [found[i][3] for i in (1, 2, 3, 4, 5, 6)] == ["block", "block", "allow", "allow", "allow", "block"]
 
 
+def test_all_tags_count_by_their_attributes(spark):
+    """Words in addresses and other attributes make no link; the true tag may come later."""
+    icon = '<link rel=icon href="https://canonical.net/x.ico"><link href=/canonical.css rel="stylesheet">'
+    found = verdicts(spark, [
+        (1, "http://a.com/1", icon + "<link data-rel='x' rel='alternate CANONICAL' href='http://bad.net/1'>"),
+        (2, "http://b.com/2", icon + '<meta name="description" content="refresh; url=http://bad.net/2">'),
+        (3, "http://c.com/3", '<meta name=refresh content="x"><meta content="5;url=http://bad.net/3" http-equiv="Refresh">'),
+        (4, "http://d.com/4", '<link data-rel="canonical" href="http://bad.net/4"><link rel="not-canonical" href="http://bad.net/5">'),
+        (5, "http://e.com/5", "<link rel=canonical href=http://f.com/6><link rel=canonical href=http://bad.net/7>"),
+        (6, "http://f.com/6", None),
+    ])
+    assert [found[i][3] for i in range(1, 7)] == ["block", "allow", "block", "allow", "block", "block"]
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = [(1, "http://a.net/x", None)] * 3 + [(None, None, None), (2, "http://c.com/", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for name in ("host", "path", "rule", "verdict", "node", "component", "said"):
+        df = df.withColumn(name, F.lit(1))
+    found = filter_urls(df)
+    assert found.columns == ["page_id", "host", "path", "rule", "verdict"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(
+        [(1, "a.net", "/x", "net/", "block")] * 3 + [(None, "", "", None, "allow"), (2, "c.com", "/", None, "allow")], key=repr)
+
+
 def test_given_redirects(spark):
     redirects = spark.createDataFrame([("http://a.com/", "http://z.net/")], "a string, b string")
     assert verdicts(spark, [(1, "http://a.com/", "")], redirects=redirects)[1][3] == "block"
