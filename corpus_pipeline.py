@@ -2,6 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before kept. All
 but the last return the columns of ``documents``.
+
+Every decision is about a row's own text: rows that share an id, or have none, do not speak
+for each other. Null, empty and blank texts are rejected by the first stage; further columns
+are carried along. Rows that repeat id and text are one document from the second stage on. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
