@@ -15,6 +15,7 @@ from tabproof.errors import EvaluationError
 from tabproof.functions.columns import is_finite, is_numeric, quoted, safe_ratio, share_text
 from tabproof.operators.ordered import cell_facts, range_edges, running_counts, score_counts
 from tabproof.operators.quantile import coarse_cell
+from tabproof.sources.shared import stored
 
 # Fixed value: the conventional cut-off.
 DECISION_THRESHOLD = 0.5
@@ -58,10 +59,13 @@ def hard_predictions(
     return df.withColumn(name, (positive_score(df, score) >= F.lit(threshold)).cast("int"))
 
 
-def _checked(df: DataFrame, label: str, score: str):
+def _checked(df: DataFrame, label: str, score: str, by=()):
     """Label and score columns and the facts of one pass that checks both.
 
-    The facts hold ``rows``, ``positives`` and the range ``edges`` of the scores.
+    The facts hold ``rows``, ``positives``, the range ``edges`` of the scores and whether
+    some group has a ``single`` class. Edges are drawn over all groups together, so a range
+    holds no more rows of one group than of all. With groups, what the pass counts is
+    stored, as there may be any number of them.
     """
     if not is_numeric(df.schema[label].dataType):
         raise EvaluationError(f"label column '{label}' is not numeric")
@@ -76,9 +80,18 @@ def _checked(df: DataFrame, label: str, score: str):
         "infinite": F.count_if(~is_finite(value)),
         "outside": F.count_if(is_finite(value) & ~value.between(0.0, 1.0)),
     }
-    cells = df.groupBy(coarse_cell(usable).alias("__cell")).agg(
-        *[count.alias(name) for name, count in checks.items()], *cell_facts(usable)).collect()
-    facts = {name: sum(cell[name] for cell in cells) for name in checks}
+    cells = df.groupBy(*by, coarse_cell(usable).alias("__cell")).agg(
+        *[count.alias(f"__{name}") for name, count in checks.items()], *cell_facts(usable))
+    single = False
+    if by:
+        groups = stored(cells, "score-cells")
+        classes = groups.groupBy(*by).agg(F.sum("__rows").alias("__rows"), F.sum("__positives").alias("__positives"))
+        single = bool(classes.where("__positives = 0 OR __positives = __rows").limit(1).count())
+        cells = groups.groupBy("__cell").agg(
+            *[F.sum(f"__{name}").alias(f"__{name}") for name in checks],
+            F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    cells = cells.collect()
+    facts = {name: sum(cell[f"__{name}"] for cell in cells) for name in checks}
     if not facts["rows"]:
         raise EvaluationError("there are no observations")
     for count, problem in (
@@ -90,6 +103,7 @@ def _checked(df: DataFrame, label: str, score: str):
         if count:
             raise EvaluationError(f"{count} {problem}")
     facts["edges"] = range_edges(df, usable, cells)
+    facts["single"] = single or facts["positives"] in (0, facts["rows"])
     return truth, value, facts
 
 
@@ -182,13 +196,9 @@ def roc_points(df: DataFrame, label: str, score: str, by=()) -> DataFrame:
 
     Points in the middle of a straight run of single steps are left out.
     """
-    truth, value, facts = _checked(df, label, score)
     by = [by] if isinstance(by, str) else list(by)
-    single = facts["positives"] in (0, facts["rows"])
-    if by and not single:
-        classes = df.groupBy(*by).agg(F.min(truth).alias("low"), F.max(truth).alias("high"))
-        single = classes.where("low = high").limit(1).count() > 0
-    if single:
+    truth, value, facts = _checked(df, label, score, by)
+    if facts["single"]:
         raise EvaluationError("a ROC curve needs both classes; only one is present")
     ranked = running_counts(score_counts(df, truth, value, by), facts["edges"], by)
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))

@@ -220,6 +220,36 @@ def _pr_sql(score):
     FROM w UNION ALL SELECT 0.0::DOUBLE, 1.0::DOUBLE, NULL"""
 
 
+def roc_by_segment(spark, sf_dir):
+    """A curve per line status of scores whose ranges are very unequal."""
+    return roc_points(_segments(spark, sf_dir), "label", "score", "segment").select(
+        "segment", *[F.round(c, DIGITS).alias(c) for c in ("fpr", "tpr")], "threshold")
+
+
+def _segments(spark, sf_dir):
+    scored = scored_lineitem(spark, sf_dir)
+    return scored.select(
+        "label", F.col("l_linestatus").alias("segment"),
+        F.when(F.col("l_linestatus") == "O", F.col("fine") / 1e6).otherwise(F.col("fine")).alias("score"))
+
+
+_SEGMENTS_SQL = f"""
+    SELECT label, l_linestatus AS segment,
+           CASE WHEN l_linestatus = 'O' THEN fine / 1e6::DOUBLE ELSE fine END AS score FROM ({SCORED_SQL})
+"""
+ROC_BY_SEGMENT_SQL = f"""
+    WITH d AS (SELECT segment, score, sum(label)::BIGINT AS pos, (count(*) - sum(label))::BIGINT AS neg
+               FROM ({_SEGMENTS_SQL}) GROUP BY segment, score),
+    w AS (SELECT *, sum(pos) OVER down AS cp, sum(neg) OVER down AS cn, row_number() OVER down AS i,
+                 lead(pos) OVER down AS next_pos, lead(neg) OVER down AS next_neg,
+                 sum(pos) OVER one::DOUBLE AS all_pos, sum(neg) OVER one::DOUBLE AS all_neg
+          FROM d WINDOW down AS (PARTITION BY segment ORDER BY score DESC), one AS (PARTITION BY segment))
+    SELECT segment, round(cn / all_neg, {DIGITS}) AS fpr, round(cp / all_pos, {DIGITS}) AS tpr, score AS threshold
+    FROM w WHERE i = 1 OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg
+    UNION ALL SELECT DISTINCT segment, 0.0::DOUBLE, 0.0::DOUBLE, 'infinity'::DOUBLE FROM d
+"""
+
+
 def returned_rate(spark, sf_dir):
     return _points_rate(positive_rate(lineitem(spark, sf_dir), "returned"))
 
@@ -373,6 +403,7 @@ COMPARISON_JSON_SQL = f"""
 """
 
 QUERIES = {
+    "roc_points_by_segment": roc_by_segment,
     "aligned_by_position": aligned_by_position,
     "stacked_evaluations": stacked_evaluations,
     "comparison_json": comparison_json,
@@ -397,6 +428,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "roc_points_by_segment": ROC_BY_SEGMENT_SQL,
     "aligned_by_position": POSITION_SQL,
     "stacked_evaluations": STACKED_SQL,
     "comparison_json": COMPARISON_JSON_SQL,
