@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tabproof.sources.shared import shared_folder
 
@@ -17,7 +19,20 @@ def spool(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    _delete_on_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spool_parts(spark: SparkSession, parts: Iterator[DataFrame], schema: str, purpose: str) -> DataFrame:
+    """Write one part after the other into one folder and read all of them back."""
+    path = shared_folder(spark, purpose)
+    spark.createDataFrame([], schema).write.parquet(path)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    _delete_on_exit(spark, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _delete_on_exit(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)

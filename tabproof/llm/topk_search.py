@@ -1,14 +1,18 @@
-"""Exact top-k search by BM25 with block-max dynamic pruning.
-
-Document counts and lengths of the whole table give every shard the same weights. A shard
-is an inverted index of some thousand documents, built and searched in one task, past which
-the queries stream in batches. Documents of a shard are ordered so that blocks hold like
-texts (same most frequent term, like length), and every frequent term has its largest
-impact per block. For a query, the rare terms' postings are added up and the block maxima
-of the frequent terms are put on top. Blocks are taken from the highest bound down: the
-frequent terms' own impacts replace the maxima, and the k-th best document so far is the
-threshold that ends the search and leaves out the rest. The documents that remain are
-scored in full. The shards' results are merged by score.
+"""Exact top-k search by BM25 with block-max WAND over an inverted index in shards.
+
+Every task that reads documents writes shards of the index: postings sorted by term and
+document, in rows of bounded size. Documents of a shard are ordered so that neighbours are
+alike (same most frequent term, like length, so copies meet), and every term has its
+largest impact in each block of neighbouring documents. Document counts per term and
+lengths are summed up from the shards, so all of them weigh alike.
+
+Queries travel in batches of bounded size to the shards. The cursors of a query's terms
+meet in blocks: a term's postings bound its share in a document by themselves where it has
+no more of them than there are blocks, its block maxima do so otherwise. Documents whose
+summed bound reaches the k-th best score so far are pivots, and only these get the frequent
+terms' own impacts. The highest bounds go first and set the threshold, and a task takes a
+query's threshold along from shard to shard. What remains is scored in full, and the
+shards' results are merged by score.
 """
 
 from __future__ import annotations
@@ -23,175 +27,192 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabproof.llm.near_dedup import WordHashes
-from tabproof.llm.spool import spool
+from tabproof.llm.spool import spool, spool_parts
 
 K1, B = 1.2, 0.75
 TOP = 10
-#: Documents of a shard, on average, and of a block; blocks looked at in one step.
+#: Most documents of a shard and characters of their texts, one document more or less. A
+#: task may end a shard earlier. Places of documents are stored in 16 bits.
 SHARD_DOCS = 16_384
-BLOCK = 32
+SHARD_CHARS = 16_000_000
+#: Documents of a block, and those that are scored first to set a threshold.
+BLOCK = 8
 STEP = 32
-#: The terms with the most documents of a shard that get block maxima there, and the least
-#: share of documents they are in. All other terms are added up from their postings.
-FREQUENT_TERMS = 1024
-FREQUENT = 1 / 128
-#: Distinct terms of documents that are counted together in a task.
-COUNTED = 4_000_000
+#: Terms of the queries that go to the shards together, of 16 bytes each. A query's terms
+#: stay together.
+BATCH_TERMS = 1_000_000
 
 _TERM = re.compile(r"\w+")
 #: Bounds are sums of 32-bit numbers in another order, so they may be off by this share.
 _SLACK = 1e-4
 
 
-def terms_of(text: str, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct terms (64-bit hashes of lower-case words, sorted) and their counts."""
-    return np.unique(hashes.of(_TERM.findall(text.lower())).view(np.int64), return_counts=True)
+class _Codes(dict):
+    """Numbers words from 0 in the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        value = self[word] = len(self)
+        return value
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def terms_of(text: str, hashes: WordHashes) -> np.ndarray:
+    """Distinct terms: 64-bit hashes of lower-case words, sorted."""
+    return np.unique(hashes.of(_TERM.findall(text.lower())).view(np.int64))
+
+
+class ShardBuilder:
+    """Collects documents and turns them into one row of the index."""
+
+    FIELDS = ("ids array<bigint>, terms array<bigint>, sizes array<int>, "
+              "lengths binary, post_docs binary, post_counts binary, documents bigint, tokens bigint")
+
+    def __init__(self, hashes: WordHashes) -> None:
+        self.hashes, self.words, self.ids, self.parts, self.chars = hashes, _Codes(), [], [], 0
 
+    def add(self, id_: int | None, text: str) -> None:
+        words = _TERM.findall(text.lower())
+        self.parts.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+        self.ids.append(id_)
+        self.chars += len(text)
 
-def inverse_frequency(documents: float, with_term: float) -> float:
-    return math.log1p((documents - with_term + 0.5) / (with_term + 0.5))
+    def row(self) -> tuple:
+        n = len(self.ids)
+        lengths = np.array([len(p) for p in self.parts], np.int64)
+        terms = self.hashes.of(list(self.words)).view(np.int64)
+        # Words of one hash are one term.
+        terms, rank = np.unique(terms, return_inverse=True)
+        keys = rank[np.concatenate(self.parts)] * n + np.repeat(np.arange(n), lengths)
+        keys, counts = np.unique(keys, return_counts=True)
+        of_term, docs = np.divmod(keys, n)
+        leading = np.zeros(n, np.int64)
+        np.maximum.at(leading, docs, (counts << 32) + of_term)
+        place = np.empty(n, np.int64)
+        order = np.lexsort((lengths, leading & 0xFFFFFFFF))
+        place[order] = np.arange(n)
+        docs = place[docs]
+        by_term = np.argsort(of_term * n + docs)
+        return ([self.ids[i] for i in order], terms, np.bincount(of_term, minlength=len(terms)).astype(np.int32),
+                lengths[order].astype("<u4").tobytes(), docs[by_term].astype("<u2").tobytes(),
+                counts[by_term].astype("<u4").tobytes(), n, int(lengths.sum()))
 
 
 class Shard:
-    """Inverted index with block maxima, and the documents' own term lists."""
-
-    def __init__(self, ids: list, bags: list[tuple[np.ndarray, np.ndarray]], mean_length: float) -> None:
-        lengths = np.array([c.sum() for _, c in bags], float)
-        leading = [int(t[c.argmax()]) if len(t) else 0 for t, c in bags]
-        order = np.lexsort((lengths, leading))
-        bags = [bags[i] for i in order]
-        self.ids = [ids[i] for i in order]
-        lengths = lengths[order]
-        self.starts = np.concatenate([[0], np.cumsum([len(t) for t, _ in bags])]).astype(np.int64)
-        docs = np.repeat(np.arange(len(bags), dtype=np.int32), np.diff(self.starts))
-        hashes = np.concatenate([t for t, _ in bags]) if bags else np.empty(0, np.int64)
-        counts = np.concatenate([c for _, c in bags]).astype(float) if bags else np.empty(0)
+    """Postings of some documents, maxima of terms in blocks, and the documents' own terms."""
+
+    def __init__(self, ids: list, terms: np.ndarray, sizes: np.ndarray, lengths: np.ndarray,
+                 docs: np.ndarray, counts: np.ndarray, mean_length: float, block: int) -> None:
+        self.ids, self.terms, self.docs, self.block = ids, terms, docs, block
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.impacts = counts * (K1 + 1) / (counts + norm[docs])
-        self.terms, codes = np.unique(hashes, return_inverse=True)
-        self.codes = codes.astype(np.int32)
-        by_term = np.argsort(self.codes, kind="stable")
-        self.post_docs = docs[by_term]
-        self.post_impacts = self.impacts[by_term]
-        self.post_starts = np.searchsorted(self.codes[by_term], np.arange(len(self.terms) + 1))
-        self.blocks = -(-len(bags) // BLOCK)
-        sizes = np.diff(self.post_starts)
-        often = np.argsort(-sizes, kind="stable")[:FREQUENT_TERMS]
-        often = often[sizes[often] > FREQUENT * len(bags)]
-        self.row = np.full(len(self.terms), -1, np.int32)
-        self.row[often] = np.arange(len(often))
-        self.own = np.zeros((len(often), self.blocks * BLOCK), np.float32)
-        for row, term in enumerate(often):
-            part = slice(self.post_starts[term], self.post_starts[term + 1])
-            self.own[row, self.post_docs[part]] = self.post_impacts[part]
-        self.own = self.own.reshape(len(often), self.blocks, BLOCK)
-        self.maxima = self.own.max(2) if len(often) else np.zeros((0, self.blocks), np.float32)
-        self.weights = np.zeros(len(self.terms))
+        self.starts = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        self.blocks = -(-len(ids) // block)
+        # A term in no more documents than there are blocks is its own list of maxima.
+        self.often = np.flatnonzero(sizes > self.blocks)
+        self.row = np.full(len(terms), -1, np.int32)
+        self.row[self.often] = np.arange(len(self.often))
+        at = _ranges(self.starts[self.often], sizes[self.often])
+        self.own = np.zeros((self.blocks * block, len(self.often)), np.float32)
+        self.own[docs[at], np.repeat(np.arange(len(self.often)), sizes[self.often])] = self.impacts[at]
+        self.maxima = self.own.reshape(self.blocks, block, len(self.often)).max(1)
+        by_doc = np.argsort(docs, kind="stable")
+        self.own_terms = np.repeat(np.arange(len(terms), dtype=np.int32), sizes)[by_doc]
+        self.own_impacts = self.impacts[by_doc]
+        self.own_starts = np.append(0, np.cumsum(np.bincount(docs, minlength=len(ids))))
+        self.weights = np.zeros(len(terms))
+        #: Pivots whose scores were added up.
+        self.scored = 0
 
-    def _exact(self, docs: np.ndarray) -> np.ndarray:
-        """Full scores; every document adds its terms in the order of their hashes."""
-        sizes = self.starts[docs + 1] - self.starts[docs]
-        ends = np.cumsum(sizes)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[docs] - (ends - sizes), sizes)
-        parts = self.weights[self.codes[at]] * self.impacts[at]
-        out = np.zeros(len(docs))
-        full = sizes > 0
-        if full.any():
-            out[full] = np.add.reduceat(parts, (ends - sizes)[full])
-        return out
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, object]]:
-        """The k best documents with a score above 0: score and id, ties by id."""
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int,
+               threshold: float = 0.0) -> list[tuple[float, object]]:
+        """The k best documents with a score above 0 and not below ``threshold``: score and
+        id, ties by id."""
         if not len(self.terms) or not len(terms):
             return []
         at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         there = self.terms[at] == terms
-        codes, weights = at[there], weights[there]
-        if not len(codes):
-            return []
-        self.weights[codes] = weights
-        rows = self.row[codes]
-        rare = rows < 0
-        often, often_weights = rows[~rare], weights[~rare].astype(np.float32)
-        begins, stops = self.post_starts[codes[rare]], self.post_starts[codes[rare] + 1]
-        sizes = stops - begins
-        ends = np.cumsum(sizes)
-        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
-        found = np.zeros((self.blocks, BLOCK))
-        found.reshape(-1)[:len(self.ids)] = np.bincount(
-            self.post_docs[place], np.repeat(weights[rare], sizes) * self.post_impacts[place], len(self.ids))
-        over = often_weights @ self.maxima[often]
-        highest = found.max(1) + over
-        # Blocks from the highest bound down, until it lies below the k-th best document.
-        order = np.argsort(-highest, kind="stable")
-        order = order[highest[order] > 0]
-        docs, bounds, worst = np.empty(0, np.int64), np.empty(0), 0.0
-        for start in range(0, len(order), STEP):
-            step = order[start:start + STEP]
-            step = step[highest[step] * (1 + _SLACK) >= worst]
-            if not len(step):
-                break
-            more, of_more = self._bounds(step, found, often, often_weights)
-            keep = (of_more > 0) & (of_more * (1 + _SLACK) >= worst)
-            docs, bounds = np.concatenate([docs, more[keep]]), np.concatenate([bounds, of_more[keep]])
-            if len(bounds) >= k:
-                worst = float(np.partition(bounds, len(bounds) - k)[len(bounds) - k]) * (1 - _SLACK)
-                docs, bounds = (x[bounds * (1 + _SLACK) >= worst] for x in (docs, bounds))
+        at, weights = at[there], weights[there]
+        rows = self.row[at]
+        seldom = rows < 0
+        starts = self.starts[at[seldom]]
+        sizes = self.starts[at[seldom] + 1] - starts
+        places = _ranges(starts, sizes)
+        bounds = np.bincount(
+            self.docs[places], np.repeat(weights[seldom], sizes) * self.impacts[places], len(self.ids)).astype(float)
+        often = np.zeros(len(self.often), np.float32)
+        often[rows[~seldom]] = weights[~seldom]
+        known = bounds.copy()
+        bounds += np.repeat(self.maxima @ often, self.block)[:len(self.ids)]
+        # Pivots: first the documents with the highest bounds, then all that reach the
+        # threshold which these have set.
+        sums, docs, step = np.empty(0), np.empty(0, np.int64), max(STEP, 2 * k)
+        pivots = np.argpartition(bounds, len(bounds) - step)[-step:] if step < len(bounds) else np.arange(len(bounds))
+        least = threshold * (1 - _SLACK)
+        for turn in range(2):
+            pivots = pivots[(bounds[pivots] >= least) & (bounds[pivots] > 0)]
+            found = known[pivots] + self.own[pivots] @ often
+            self.scored += len(pivots)
+            keep = (found > 0) & (found >= least)
+            sums, docs = np.concatenate([sums, found[keep]]), np.concatenate([docs, pivots[keep]])
+            if len(sums) > k:
+                least = max(least, float(np.partition(sums, len(sums) - k)[len(sums) - k]) * (1 - _SLACK))
+                keep = sums >= least
+                sums, docs = sums[keep], docs[keep]
+            if turn == 0:
+                bounds[pivots] = 0
+                pivots = np.flatnonzero(bounds >= least)
         # What is left holds the k best; their full scores decide.
-        best = [(s, d) for s, d in zip(self._exact(docs).tolist(), docs.tolist(), strict=True) if s > 0]
-        best.sort(key=lambda x: (-x[0], self.ids[x[1]] is None, self.ids[x[1]]))
-        self.weights[codes] = 0
-        return [(s, self.ids[d]) for s, d in best[:k]]
-
-    def _bounds(self, blocks, found, often, weights) -> tuple[np.ndarray, np.ndarray]:
-        """Documents of the blocks, and their scores up to rounding."""
-        docs = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-        bounds = found[blocks].reshape(-1)
-        if len(often) and len(blocks):
-            own = self.own[often[:, None], blocks].reshape(len(often), -1)
-            bounds = bounds + weights @ own
-        inside = docs < len(self.ids)
-        return docs[inside], bounds[inside]
-
-
-def _term_counts(docs: DataFrame) -> DataFrame:
-    """``term, documents, tokens``: documents with each term; the null term counts all
-    documents and tokens."""
+        self.weights[at] = weights
+        best = [(s, self.ids[d]) for s, d in zip(self._exact(docs).tolist(), docs.tolist(), strict=True)
+                if s >= threshold]
+        self.weights[at] = 0
+        best.sort(key=lambda x: (-x[0], x[1] is None, x[1]))
+        return best[:k]
+
+    def _exact(self, docs: np.ndarray) -> np.ndarray:
+        """Full scores; every document adds its terms in the order of their hashes."""
+        sizes = self.own_starts[docs + 1] - self.own_starts[docs]
+        at = _ranges(self.own_starts[docs], sizes)
+        return np.bincount(np.repeat(np.arange(len(docs)), sizes),
+                           self.weights[self.own_terms[at]] * self.own_impacts[at], len(docs))
+
+
+def _index(docs: DataFrame, shard_docs: int, shard_chars: int) -> DataFrame:
+    """One row per shard of the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, parts, size, documents, tokens = WordHashes(), [], 0, 0, 0
+        hashes = WordHashes()
+        builder = ShardBuilder(hashes)
 
         def out() -> pa.RecordBatch:
-            terms, counts = np.unique(np.concatenate(parts), return_counts=True)
+            ids, terms, sizes, *rest = builder.row()
+            lists = [pa.array([x], pa.list_(t)) for x, t in ((ids, pa.int64()), (terms, pa.int64()), (sizes, pa.int32()))]
             return pa.RecordBatch.from_arrays(
-                [pa.array(terms), pa.array(counts), pa.nulls(len(terms), pa.int64())],
-                ["term", "documents", "tokens"])
+                lists + [pa.array([x]) for x in rest],
+                ["ids", "terms", "sizes", "lengths", "post_docs", "post_counts", "documents", "tokens"])
 
         for batch in batches:
-            for value in batch.column(0):
-                terms, counts = terms_of(value.as_py() or "", hashes)
-                parts.append(terms)
-                size += len(terms)
-                documents += 1
-                tokens += int(counts.sum())
-            if size >= COUNTED:
-                yield out()
-                parts, size = [], 0
-        if parts:
+            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                builder.add(id_, text.as_py() or "")
+                if len(builder.ids) >= shard_docs or builder.chars >= shard_chars:
+                    yield out()
+                    builder = ShardBuilder(hashes)
+        if builder.ids:
             yield out()
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.array([documents]), pa.array([tokens])],
-            ["term", "documents", "tokens"])
 
-    counted = docs.select("text").mapInArrow(run, "term bigint, documents bigint, tokens bigint")
-    return counted.groupBy("term").agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+    return docs.select("doc_id", "text").mapInArrow(run, ShardBuilder.FIELDS)
 
 
 def _query_terms(queries: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            bags = [terms_of(v.as_py() or "", hashes)[0] for v in batch.column(1)]
+            bags = [terms_of(v.as_py() or "", hashes) for v in batch.column(1)]
             place = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(place)),
@@ -201,6 +222,69 @@ def _query_terms(queries: DataFrame) -> DataFrame:
     return queries.mapInArrow(run, "query_id bigint, term bigint").distinct()
 
 
+def _batches(asked: DataFrame, batch_terms: int) -> DataFrame:
+    """Queries in rows of at most so many terms, unless a query alone has more."""
+    total = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, parts, size = [], [], [], 0
+
+        def out() -> pa.RecordBatch:
+            terms = [np.concatenate([p[i] for p in parts]).tobytes() for i in (0, 1)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([ids], pa.list_(pa.int64())), pa.array([np.array(sizes, "<i8").tobytes()]),
+                 pa.array([terms[0]]), pa.array([terms[1]])], ["ids", "sizes", "terms", "weights"])
+
+        for batch in batches:
+            for id_, terms in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                values = terms.values
+                if parts and size + len(values) > batch_terms:
+                    yield out()
+                    ids, sizes, parts, size = [], [], [], 0
+                ids.append(id_)
+                sizes.append(len(values))
+                size += len(values)
+                parts.append([values.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)])
+        if parts:
+            yield out()
+
+    packed = asked.coalesce(max(1, -(-total // batch_terms))).mapInArrow(
+        run, "ids array<bigint>, sizes binary, terms binary, weights binary")
+    return packed.withColumn("batch", F.monotonically_increasing_id())
+
+
+def _hits(index: DataFrame, batch, k: int, mean_length: float, block: int) -> DataFrame:
+    """The best documents of every shard for the queries of one batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, sizes, terms, weights = batch.value
+        terms, weights = np.frombuffer(terms, "<i8"), np.frombuffer(weights, "<f8")
+        ends = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))])
+        best: list[list[float]] = [[] for _ in ids]
+        for rows in batches:
+            for i in range(rows.num_rows):
+                ids_, terms_, sizes_ = (rows.column(c)[i].values for c in range(3))
+                lengths, docs, counts = (
+                    np.frombuffer(rows.column(c)[i].as_py(), t) for c, t in ((3, "<u4"), (4, "<u2"), (5, "<u4")))
+                shard = Shard(ids_.to_pylist(), terms_.to_numpy(), sizes_.to_numpy(), lengths, docs, counts,
+                              mean_length, block)
+                found: list[tuple] = []
+                for q, id_ in enumerate(ids):
+                    threshold = best[q][-1] if len(best[q]) == k else 0.0
+                    part = slice(ends[q], ends[q + 1])
+                    hits = shard.search(terms[part], weights[part], k, threshold)
+                    if hits:
+                        best[q] = sorted(best[q] + [s for s, _ in hits], reverse=True)[:k]
+                        found += [(id_, d, s) for s, d in hits]
+                columns = [*zip(*found, strict=True)] or [[], [], []]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                     pa.array(columns[2], pa.float64())], ["query_id", "doc_id", "score"])
+
+    return index.select("ids", "terms", "sizes", "lengths", "post_docs", "post_counts").mapInArrow(
+        run, "query_id bigint, doc_id bigint, score double")
+
+
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """``query_id, rank, doc_id, score``: the k best documents of every query.
 
@@ -211,58 +295,30 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     empty. Queries that repeat an id are joined to one. Empty tables give no rows. Terms
     are told apart by 64-bit hashes.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     queries = queries.select(
         F.col("query_id").cast("bigint").alias("query_id"), F.col("text").cast("string").alias("text"))
-    counts = spool(_term_counts(docs), "search-counts")
-    totals = counts.where("term IS NULL").first()
-    documents = totals["documents"] if totals else 0
-    mean_length = (totals["tokens"] or 0) / documents if documents else 0.0
-    shards = max(1, -(-documents // SHARD_DOCS))
+    index = spool(_index(docs, SHARD_DOCS, SHARD_CHARS), "search-index")
+    totals = index.agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")).first()
+    documents = totals["documents"] or 0
+    mean_length = totals["tokens"] / documents if documents else 0.0
+    counts = index.select(F.inline(F.arrays_zip("terms", "sizes"))).groupBy(F.col("terms").alias("term")).agg(
+        F.sum("sizes").alias("documents"))
     weight = F.log1p((F.lit(float(documents)) - F.col("documents") + 0.5) / (F.col("documents") + 0.5))
-    weighted = _query_terms(queries).join(counts.where("term IS NOT NULL").select(
-        "term", weight.alias("weight")), "term")
-    packed = spool(weighted.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("terms")), "search-queries")
-    no_text, no_terms = F.lit(None).cast("string"), F.lit(None).cast("array<struct<term:bigint,weight:double>>")
-    rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"),
-        F.col("doc_id").alias("id"), "text", no_terms.alias("terms"))
-    asked = packed.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"),
-        F.col("query_id").alias("id"), no_text.alias("text"), "terms")
+    asked = spool(_query_terms(queries).join(counts, "term").groupBy("query_id").agg(
+        F.array_sort(F.collect_list(F.struct("term", weight.alias("weight")))).alias("terms")), "search-queries")
+    batches = spool(_batches(asked, BATCH_TERMS), "search-batches")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, now, ids, bags, index = WordHashes(), None, [], [], None
-        for batch in batches:
-            found: list[tuple] = []
-            shard_column, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            id_column = batch.column(2).to_pylist()
-            lists = batch.column(4)
-            terms = lists.flatten()
-            term_values = terms.field(0).to_numpy(zero_copy_only=False)
-            weights = terms.field(1).to_numpy(zero_copy_only=False)
-            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            ends = np.cumsum(sizes)
-            for i, (shard, kind, id_) in enumerate(zip(shard_column, kinds, id_column, strict=True)):
-                if shard != now:
-                    now, ids, bags, index = shard, [], [], None
-                if kind == 0:
-                    ids.append(id_)
-                    bags.append(terms_of(batch.column(3)[i].as_py() or "", hashes))
-                    continue
-                if index is None:
-                    index = Shard(ids, bags, mean_length)
-                    ids, bags = [], []
-                part = slice(ends[i] - sizes[i], ends[i])
-                found += [(id_, d, s) for s, d in index.search(term_values[part], weights[part], k)]
-            columns = [*zip(*found, strict=True)] or [[], [], []]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 pa.array(columns[2], pa.float64())], ["query_id", "doc_id", "score"])
+    def parts() -> Iterator[DataFrame]:
+        for row in batches.select("batch").collect():
+            one = batches.where(F.col("batch") == row["batch"]).first()
+            sent = spark.sparkContext.broadcast(
+                (one["ids"], bytes(one["sizes"]), bytes(one["terms"]), bytes(one["weights"])))
+            yield _hits(index, sent, k, mean_length, BLOCK)
+            sent.destroy()
 
-    dealt = rows.unionByName(asked).repartition("shard").sortWithinPartitions("shard", "kind")
-    hits = dealt.mapInArrow(run, "query_id bigint, doc_id bigint, score double")
+    hits = spool_parts(spark, parts(), "query_id bigint, doc_id bigint, score double", "search-hits")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = hits.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")

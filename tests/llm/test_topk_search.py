@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tabproof.llm import topk_search
@@ -52,3 +53,60 @@ def test_awkward_rows(spark, docs, rows, no_docs):
     assert [r["doc_id"] for r in found][:3] == [9, 9, 10]
     assert search(no_docs, queries).count() == 0
     assert search(docs, queries.limit(0)).count() == 0
+
+
+def _shard(docs, block=8):
+    hashes = topk_search.WordHashes()
+    builder = topk_search.ShardBuilder(hashes)
+    for id_, text in docs:
+        builder.add(id_, text)
+    ids, terms, sizes, lengths, places, counts, documents, tokens = builder.row()
+    return hashes, topk_search.Shard(
+        ids, terms, sizes, np.frombuffer(lengths, "<u4"), np.frombuffer(places, "<u2"), np.frombuffer(counts, "<u4"),
+        tokens / documents, block)
+
+
+def test_few_documents_are_scored():
+    random = np.random.default_rng(5)
+    topics = [[f"topic{t}word{w}" for w in range(30)] for t in range(40)]
+    docs = [(i, " ".join([*random.choice(topics[i % 40], 20), *random.choice(["the", "of", "and", "to"], 30)]))
+            for i in range(4000)]
+    hashes, shard = _shard(docs)
+    total = len(docs)
+    for id_, text in docs[:20]:
+        terms = topk_search.terms_of(text, hashes)
+        at = np.searchsorted(shard.terms, terms)
+        found = np.diff(shard.starts)[at]
+        weights = np.log1p((total - found + 0.5) / (found + 0.5))
+        hits = shard.search(terms, weights, 10)
+        shard.weights[at] = weights
+        scores = shard._exact(np.arange(total))
+        shard.weights[at] = 0
+        expected = sorted(zip((-scores).tolist(), shard.ids, strict=True))[:10]
+        assert hits == [(-s, i) for s, i in expected]
+        # A threshold from another shard leaves out what is below it, and nothing else.
+        assert shard.search(terms, weights, 10, hits[4][0]) == [h for h in hits if h[0] >= hits[4][0]]
+    assert shard.scored < 0.05 * total * 40
+
+
+def test_ties_take_the_smallest_ids_over_all_shards_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SHARD_DOCS", 7)
+    monkeypatch.setattr(topk_search, "BATCH_TERMS", 5)
+    docs = [(None if i == 50 else 100 - i, "same three words") for i in range(101)] + [(200 + i, f"other {i}") for i in range(40)]
+    queries = [(i, text) for i, text in enumerate(["same three words", "words", "other 7", "three other", None] * 3)]
+    found = search(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4),
+                   spark.createDataFrame(queries, "query_id bigint, text string"), k=5)
+    got = {}
+    for row in found.orderBy("query_id", "rank").collect():
+        got.setdefault(row["query_id"], []).append(row["doc_id"])
+    assert got[0] == got[5] == got[10] == [0, 1, 2, 3, 4] == got[1]
+    assert got[2][0] == 207
+    assert got[3][:1] == [200] and 4 not in got
+
+
+def test_a_very_long_text_is_a_shard_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "SHARD_CHARS", 1000)
+    docs = [(1, "long " * 300_000 + "needle"), (2, "needle"), (3, "a needle here"), (4, ""), (5, None)]
+    found = search(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1),
+                   spark.createDataFrame([(9, "needle")], "query_id bigint, text string"))
+    assert [r["doc_id"] for r in found.orderBy("rank").collect()] == [2, 3, 1]
