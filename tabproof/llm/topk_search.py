@@ -34,13 +34,16 @@ TOP = 10
 #: Most documents of a shard and characters of their texts, one document more or less. A
 #: task may end a shard earlier. Places of documents are stored in 16 bits.
 SHARD_DOCS = 16_384
-SHARD_CHARS = 16_000_000
+SHARD_CHARS = 32_000_000
 #: Documents of a block, and those that are scored first to set a threshold.
 BLOCK = 8
 STEP = 32
-#: Terms of the queries that go to the shards together, of 16 bytes each. A query's terms
-#: stay together.
+#: Terms of the queries that go to the shards together, of 16 bytes each, and the number of
+#: these queries. A query's terms stay together.
 BATCH_TERMS = 1_000_000
+BATCH_QUERIES = 20_000
+#: Tasks per core that search the shards: each takes thresholds along through its share.
+TASKS = 2
 
 _TERM = re.compile(r"\w+")
 #: Bounds are sums of 32-bit numbers in another order, so they may be off by this share.
@@ -61,6 +64,11 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
+def _rank(hit: tuple) -> tuple:
+    score, id_ = hit
+    return -score, id_ is None, id_ or 0
+
+
 def terms_of(text: str, hashes: WordHashes) -> np.ndarray:
     """Distinct terms: 64-bit hashes of lower-case words, sorted."""
     return np.unique(hashes.of(_TERM.findall(text.lower())).view(np.int64))
@@ -171,8 +179,7 @@ class Shard:
         best = [(s, self.ids[d]) for s, d in zip(self._exact(docs).tolist(), docs.tolist(), strict=True)
                 if s >= threshold]
         self.weights[at] = 0
-        best.sort(key=lambda x: (-x[0], x[1] is None, x[1]))
-        return best[:k]
+        return sorted(best, key=_rank)[:k]
 
     def _exact(self, docs: np.ndarray) -> np.ndarray:
         """Full scores; every document adds its terms in the order of their hashes."""
@@ -222,8 +229,8 @@ def _query_terms(queries: DataFrame) -> DataFrame:
     return queries.mapInArrow(run, "query_id bigint, term bigint").distinct()
 
 
-def _batches(asked: DataFrame, batch_terms: int) -> DataFrame:
-    """Queries in rows of at most so many terms, unless a query alone has more."""
+def _batches(asked: DataFrame, batch_terms: int, batch_queries: int) -> DataFrame:
+    """Rows of at most so many queries and terms, unless a query alone has more."""
     total = asked.agg(F.sum(F.size("terms"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,7 +245,7 @@ def _batches(asked: DataFrame, batch_terms: int) -> DataFrame:
         for batch in batches:
             for id_, terms in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 values = terms.values
-                if parts and size + len(values) > batch_terms:
+                if parts and (size + len(values) > batch_terms or len(ids) == batch_queries):
                     yield out()
                     ids, sizes, parts, size = [], [], [], 0
                 ids.append(id_)
@@ -254,13 +261,13 @@ def _batches(asked: DataFrame, batch_terms: int) -> DataFrame:
 
 
 def _hits(index: DataFrame, batch, k: int, mean_length: float, block: int) -> DataFrame:
-    """The best documents of every shard for the queries of one batch."""
+    """The best documents in the shards of each task for the queries of one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sizes, terms, weights = batch.value
         terms, weights = np.frombuffer(terms, "<i8"), np.frombuffer(weights, "<f8")
         ends = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))])
-        best: list[list[float]] = [[] for _ in ids]
+        best: list[list[tuple]] = [[] for _ in ids]
         for rows in batches:
             for i in range(rows.num_rows):
                 ids_, terms_, sizes_ = (rows.column(c)[i].values for c in range(3))
@@ -268,21 +275,21 @@ def _hits(index: DataFrame, batch, k: int, mean_length: float, block: int) -> Da
                     np.frombuffer(rows.column(c)[i].as_py(), t) for c, t in ((3, "<u4"), (4, "<u2"), (5, "<u4")))
                 shard = Shard(ids_.to_pylist(), terms_.to_numpy(), sizes_.to_numpy(), lengths, docs, counts,
                               mean_length, block)
-                found: list[tuple] = []
-                for q, id_ in enumerate(ids):
-                    threshold = best[q][-1] if len(best[q]) == k else 0.0
+                for q, so_far in enumerate(best):
+                    threshold = so_far[-1][0] if len(so_far) == k else 0.0
                     part = slice(ends[q], ends[q + 1])
                     hits = shard.search(terms[part], weights[part], k, threshold)
                     if hits:
-                        best[q] = sorted(best[q] + [s for s, _ in hits], reverse=True)[:k]
-                        found += [(id_, d, s) for s, d in hits]
-                columns = [*zip(*found, strict=True)] or [[], [], []]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                     pa.array(columns[2], pa.float64())], ["query_id", "doc_id", "score"])
+                        best[q] = sorted(so_far + hits, key=_rank)[:k]
+        found = [(id_, d, s) for id_, hits in zip(ids, best, strict=True) for s, d in hits]
+        columns = [*zip(*found, strict=True)] or [[], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+             pa.array(columns[2], pa.float64())], ["query_id", "doc_id", "score"])
 
-    return index.select("ids", "terms", "sizes", "lengths", "post_docs", "post_counts").mapInArrow(
-        run, "query_id bigint, doc_id bigint, score double")
+    columns = index.select("ids", "terms", "sizes", "lengths", "post_docs", "post_counts")
+    tasks = TASKS * index.sparkSession.sparkContext.defaultParallelism
+    return columns.coalesce(tasks).mapInArrow(run, "query_id bigint, doc_id bigint, score double")
 
 
 def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
@@ -308,7 +315,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     weight = F.log1p((F.lit(float(documents)) - F.col("documents") + 0.5) / (F.col("documents") + 0.5))
     asked = spool(_query_terms(queries).join(counts, "term").groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("term", weight.alias("weight")))).alias("terms")), "search-queries")
-    batches = spool(_batches(asked, BATCH_TERMS), "search-batches")
+    batches = spool(_batches(asked, BATCH_TERMS, BATCH_QUERIES), "search-batches")
 
     def parts() -> Iterator[DataFrame]:
         for row in batches.select("batch").collect():
