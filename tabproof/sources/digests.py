@@ -80,8 +80,14 @@ def _blocks(length: Column, block: int) -> Column:
 def block_digests(spark: SparkSession, path: str, block: int = BLOCK_BYTES) -> DataFrame:
     """``path, length, place, digest``: the SHA-256 of every block of every file."""
     files = _listed(spark, path)
-    of_block = F.transform(_blocks(F.col("length"), block), lambda i: F.struct(
-        i.alias("place"), F.sha2(F.substring("content", (i * block + 1).cast("int"), F.lit(block)), 256).alias("digest")))
+
+    def of_blocks(content: Column) -> Column:
+        return F.transform(_blocks(F.col("length"), block), lambda i: F.struct(
+            i.alias("place"), F.sha2(F.substring(content, (i * block + 1).cast("int"), F.lit(block)), 256).alias("digest")))
+
+    # A column of a row is copied whole wherever it is read, which would be once a block. The
+    # outer lambda takes the content out of its row once, and the blocks are cut from that.
+    of_block = F.flatten(F.transform(F.array("content"), of_blocks))
     small = files.where(F.col("length") <= WHOLE_BYTES).select("path", "length", F.inline(of_block))
     large = files.where(F.col("length") > WHOLE_BYTES).select(
         "path", "length", F.explode(_blocks(F.col("length"), block)).alias("place"))

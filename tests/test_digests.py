@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 
@@ -50,6 +51,17 @@ def test_manifest_and_blocks(spark, folder, monkeypatch, whole):
     assert [r["digest"] for r in blocks] == [sha(contents["f6"][i:i + 100]) for i in range(0, 401, 100)]
 
 
+def test_time_does_not_grow_with_blocks_times_bytes(spark, tmp_path):
+    """Copying the file once for each of its 65,536 blocks moves half a terabyte."""
+    content = random.Random(5).randbytes(2**23)
+    (tmp_path / "many blocks").write_bytes(content)
+    started = time.monotonic()
+    found = block_digests(spark, str(tmp_path), 128).orderBy("place").collect()
+    took = time.monotonic() - started
+    assert [r["digest"] for r in found] == [sha(content[i:i + 128]) for i in range(0, len(content), 128)]
+    assert took < 30
+
+
 def test_folder(spark, folder, tmp_path):
     path, contents = folder
     groups = {}
