@@ -27,7 +27,7 @@ from tabproof.operators.split import (
 )
 from tabproof.plans.models import ModelSpec, get_spec, model_names
 from tabproof.plans.quality import require_valid
-from tabproof.sources.shared import use_checkpoint_dir
+from tabproof.sources.shared import stored, use_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -162,23 +162,21 @@ def score_models(models: list[TrainedModel], df: DataFrame) -> DataFrame:
 def evaluate_models(models: list[TrainedModel], df: DataFrame) -> DataFrame:
     """Metrics of every model on held-out rows, each at its recorded threshold.
 
-    All models go through one plan, grouped by model. The scores are cached while the
-    plan runs because scoring an ensemble is the costly part; the result, a row per
-    model, is small and returned materialised.
+    All models go through one plan, grouped by model. The scores are written to the shared
+    folder once and read back: a cache would keep its lineage, so that every task of every
+    later job unpacks all the models again, and a forest grows with its training rows. The
+    result, a row per model, is small and returned materialised.
     """
     spark = df.sparkSession
     parts = []
     for threshold in sorted({m.metadata["decision_threshold"] for m in models}):
         same = [m for m in models if m.metadata["decision_threshold"] == threshold]
         order = [models.index(m) for m in same]
-        scored = score_models(same, df).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            metrics = binary_metrics(scored, "label", "probability", threshold, ["ordinal", "model"])
-            ranks = F.array(*[F.lit(i) for i in order])
-            metrics = metrics.withColumn("ordinal", F.element_at(ranks, F.col("ordinal") + 1))
-            parts.append(spark.createDataFrame(metrics.collect(), metrics.schema))
-        finally:
-            scored.unpersist()
+        scored = stored(score_models(same, df), "model-scores")
+        metrics = binary_metrics(scored, "label", "probability", threshold, ["ordinal", "model"])
+        ranks = F.array(*[F.lit(i) for i in order])
+        metrics = metrics.withColumn("ordinal", F.element_at(ranks, F.col("ordinal") + 1))
+        parts.append(spark.createDataFrame(metrics.collect(), metrics.schema))
     if not parts:
         raise EvaluationError("there is no model to evaluate")
     sizes = F.array(*[F.lit(m.metadata["train_size"]) for m in models])

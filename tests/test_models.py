@@ -8,6 +8,7 @@ from tabproof.errors import (
     ArtifactError, EvaluationError, InvalidTableError, SplitError, UnknownModelError,
 )
 from tabproof.operators.compare import compare_models
+from tabproof.plans import training
 from tabproof.plans.models import BASELINES, ModelSpec, get_spec, model_names
 from tabproof.plans.training import (
     evaluate_models, load_metadata, load_model, metadata_frame, save_model, score_models,
@@ -150,6 +151,16 @@ def test_fits_are_reproducible(modelling, contract):
     assert runs[0] == runs[1]
 
 
+def test_metrics_are_counted_without_the_models(linear, monkeypatch):
+    """Models are shipped for scoring alone: no plan behind the scores holds one."""
+    seen, count = [], training.binary_metrics
+    monkeypatch.setattr(training, "binary_metrics", lambda df, *a, **k: seen.append(df) or count(df, *a, **k))
+    metrics = evaluate_models(linear.models, linear.test).first()
+    assert metrics["n_samples"] == linear.test.count()
+    assert [df._jdf.queryExecution().optimizedPlan().toString().count("UDF") for df in seen] == [0]
+    assert not any(df.storageLevel.useMemory for df in seen)
+
+
 def test_thresholds_are_recorded_and_used(modelling, contract):
     experiment = train_model(modelling, contract, "row", "logistic_regression", threshold=.2)
     metrics = evaluate_models(experiment.models, experiment.test).first()
