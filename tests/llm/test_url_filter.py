@@ -1,5 +1,6 @@
 import itertools
 import random
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -95,3 +96,21 @@ def test_components(spark):
     found = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {(r["node"], r["component"]) for r in found} == {(n, find(n)) for n in parent}
     assert len(found) == len(parent) and next(itertools.chain(found)) is not None
+
+
+def test_small_rounds_take_few_files(spark):
+    """A round is known not to outgrow the one before, whatever the number of partitions."""
+    few = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in few}
+    try:
+        for name, value in few.items():
+            spark.conf.set(name, value)
+        edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a bigint, b bigint")
+        found = connected_components(edges, "few").collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(map(tuple, found)) == [(i, 0) for i in range(41)]
+    rounds = sorted(len(list(folder.glob("*.parquet"))) for folder in Path(spark.conf.get("spark.checkpoint.dir")).glob("few-*"))
+    assert len(rounds) > 2
+    assert all(files <= spark.sparkContext.defaultParallelism for files in rounds[:-1])
