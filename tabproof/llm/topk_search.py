@@ -6,13 +6,14 @@ alike (same most frequent term, like length, so copies meet), and every term has
 largest impact in each block of neighbouring documents. Document counts per term and
 lengths are summed up from the shards, so all of them weigh alike.
 
-Queries travel in batches of bounded size to the shards. The cursors of a query's terms
-meet in blocks: a term's postings bound its share in a document by themselves where it has
-no more of them than there are blocks, its block maxima do so otherwise. Documents whose
-summed bound reaches the k-th best score so far are pivots, and only these get the frequent
-terms' own impacts. The highest bounds go first and set the threshold, and a task takes a
-query's threshold along from shard to shard. What remains is scored in full, and the
-shards' results are merged by score.
+Queries travel in batches of bounded size to the shards, where those that are alike are
+searched together. The cursors of a query's terms meet in blocks: a seldom term's postings
+bound its share in a document by themselves, a frequent term does so by its block maxima,
+for all queries of a group in one product of matrices. Blocks whose summed bound reaches
+the k-th best score so far are pivots, and only these get the frequent terms' own impacts.
+The highest bounds go first and set the threshold, and a task takes a query's threshold
+along from shard to shard. What remains is scored in full, and the shards' results are
+merged by score.
 """
 
 from __future__ import annotations
@@ -35,12 +36,22 @@ TOP = 10
 #: task may end a shard earlier. Places of documents are stored in 16 bits.
 SHARD_DOCS = 16_384
 SHARD_CHARS = 32_000_000
-#: Documents of a block, and those that are scored first to set a threshold.
-BLOCK = 8
-STEP = 32
+#: Documents of a block, and the least number of blocks that are scored first to set a threshold.
+BLOCK = 4
+STEP = 16
+#: A term in more than one of so many documents of a shard has block maxima, unless these
+#: terms times documents are more than so many cells: then the most frequent ones have.
+OFTEN = 20
+CELLS = 8_000_000
+#: Queries searched together, and those whose postings are added up together.
+TOGETHER = 128
+ADDED = 4
+#: A query's pivots are scored by themselves if the pivots of all queries searched together
+#: are more than so many times the queries' own.
+APART = 16
 #: Terms of the queries that go to the shards together, of 16 bytes each, and the number of
 #: these queries. A query's terms stay together.
-BATCH_TERMS = 1_000_000
+BATCH_TERMS = 1_500_000
 BATCH_QUERIES = 20_000
 #: Tasks per core that search the shards: each takes thresholds along through its share.
 TASKS = 2
@@ -110,83 +121,160 @@ class ShardBuilder:
                 counts[by_term].astype("<u4").tobytes(), n, int(lengths.sum()))
 
 
+class Asked:
+    """Queries of a batch: their terms as places in one sorted list, each with its weight.
+
+    A term weighs the same in all queries, and every query has terms.
+    """
+
+    def __init__(self, sizes: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> None:
+        self.sizes, self.ends = sizes, np.append(0, np.cumsum(sizes))
+        self.terms, first, codes = np.unique(terms, return_index=True, return_inverse=True)
+        self.weights, self.codes = weights[first], codes.astype(np.int32)
+        rank = np.empty(len(first), np.int32)
+        rank[np.argsort(self.weights, kind="stable")] = np.arange(len(first))
+        #: Queries in an order in which neighbours are alike: same most frequent term, like size.
+        self.order = np.lexsort((sizes, np.minimum.reduceat(rank[self.codes], self.ends[:-1])))
+
+    def __len__(self) -> int:
+        return len(self.order)
+
+
 class Shard:
     """Postings of some documents, maxima of terms in blocks, and the documents' own terms."""
 
     def __init__(self, ids: list, terms: np.ndarray, sizes: np.ndarray, lengths: np.ndarray,
                  docs: np.ndarray, counts: np.ndarray, mean_length: float, block: int) -> None:
-        self.ids, self.terms, self.docs, self.block = ids, terms, docs, block
+        self.ids, self.terms, self.sizes, self.block = ids, terms, sizes, block
         norm = K1 * (1 - B + B * lengths / max(mean_length, 1e-9))
         self.impacts = counts * (K1 + 1) / (counts + norm[docs])
         self.starts = np.append(0, np.cumsum(sizes, dtype=np.int64))
         self.blocks = -(-len(ids) // block)
-        # A term in no more documents than there are blocks is its own list of maxima.
-        self.often = np.flatnonzero(sizes > self.blocks)
+        # A block is a column of a table of documents, so that a row has one of each block.
+        self.spots = ((docs % block).astype(np.int64) * self.blocks + docs // block).astype(np.uint16)
+        self.often = np.flatnonzero(sizes * OFTEN > len(ids))
+        most = CELLS // max(1, block * self.blocks)
+        if len(self.often) > most:
+            self.often = np.sort(self.often[np.argsort(sizes[self.often], kind="stable")[len(self.often) - most:]])
         self.row = np.full(len(terms), -1, np.int32)
         self.row[self.often] = np.arange(len(self.often))
         at = _ranges(self.starts[self.often], sizes[self.often])
-        self.own = np.zeros((self.blocks * block, len(self.often)), np.float32)
-        self.own[docs[at], np.repeat(np.arange(len(self.often)), sizes[self.often])] = self.impacts[at]
-        self.maxima = self.own.reshape(self.blocks, block, len(self.often)).max(1)
+        own = np.zeros((block * self.blocks, len(self.often)), np.float32)
+        own[self.spots[at], np.repeat(np.arange(len(self.often)), sizes[self.often])] = self.impacts[at]
+        self.own = own.reshape(block, self.blocks, len(self.often))
+        self.maxima = self.own.max(0)
         by_doc = np.argsort(docs, kind="stable")
         self.own_terms = np.repeat(np.arange(len(terms), dtype=np.int32), sizes)[by_doc]
         self.own_impacts = self.impacts[by_doc]
         self.own_starts = np.append(0, np.cumsum(np.bincount(docs, minlength=len(ids))))
         self.weights = np.zeros(len(terms))
-        #: Pivots whose scores were added up.
+        #: Documents of pivots whose scores were added up, once for each query.
         self.scored = 0
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int,
                threshold: float = 0.0) -> list[tuple[float, object]]:
         """The k best documents with a score above 0 and not below ``threshold``: score and
         id, ties by id."""
-        if not len(self.terms) or not len(terms):
+        if not len(terms):
             return []
-        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        there = self.terms[at] == terms
-        at, weights = at[there], weights[there]
-        rows = self.row[at]
-        seldom = rows < 0
-        starts = self.starts[at[seldom]]
-        sizes = self.starts[at[seldom] + 1] - starts
-        places = _ranges(starts, sizes)
-        bounds = np.bincount(
-            self.docs[places], np.repeat(weights[seldom], sizes) * self.impacts[places], len(self.ids)).astype(float)
-        often = np.zeros(len(self.often), np.float32)
-        often[rows[~seldom]] = weights[~seldom]
-        known = bounds.copy()
-        bounds += np.repeat(self.maxima @ often, self.block)[:len(self.ids)]
-        # Pivots: first the documents with the highest bounds, then all that reach the
-        # threshold which these have set.
-        sums, docs, step = np.empty(0), np.empty(0, np.int64), max(STEP, 2 * k)
-        pivots = np.argpartition(bounds, len(bounds) - step)[-step:] if step < len(bounds) else np.arange(len(bounds))
-        least = threshold * (1 - _SLACK)
-        for turn in range(2):
-            pivots = pivots[(bounds[pivots] >= least) & (bounds[pivots] > 0)]
-            found = known[pivots] + self.own[pivots] @ often
-            self.scored += len(pivots)
-            keep = (found > 0) & (found >= least)
-            sums, docs = np.concatenate([sums, found[keep]]), np.concatenate([docs, pivots[keep]])
-            if len(sums) > k:
-                least = max(least, float(np.partition(sums, len(sums) - k)[len(sums) - k]) * (1 - _SLACK))
-                keep = sums >= least
-                sums, docs = sums[keep], docs[keep]
-            if turn == 0:
-                bounds[pivots] = 0
-                pivots = np.flatnonzero(bounds >= least)
-        # What is left holds the k best; their full scores decide.
-        self.weights[at] = weights
-        best = [(s, self.ids[d]) for s, d in zip(self._exact(docs).tolist(), docs.tolist(), strict=True)
-                if s >= threshold]
-        self.weights[at] = 0
-        return sorted(best, key=_rank)[:k]
+        return self.search_all(Asked(np.array([len(terms)]), terms, weights), k, np.array([threshold]))[0]
+
+    def search_all(self, asked: Asked, k: int, thresholds: np.ndarray) -> list[list[tuple[float, object]]]:
+        """The same for every query of a batch."""
+        out: list[list[tuple]] = [[] for _ in range(len(asked))]
+        if not len(self.terms):
+            return out
+        found = np.minimum(np.searchsorted(self.terms, asked.terms), len(self.terms) - 1)
+        at = np.where(self.terms[found] == asked.terms, found, -1)
+        weights = np.zeros(len(self.terms))
+        weights[at[at >= 0]] = asked.weights[at >= 0]
+        shares = (self.impacts * np.repeat(weights, self.sizes)).astype(np.float32)
+        for first in range(0, len(asked), TOGETHER):
+            queries = asked.order[first:first + TOGETHER]
+            terms = at[asked.codes[_ranges(asked.ends[queries], asked.sizes[queries])]]
+            query = np.repeat(np.arange(len(queries)), asked.sizes[queries])[terms >= 0]
+            terms = terms[terms >= 0]
+            ends = np.searchsorted(query, np.arange(len(queries) + 1))
+            for i, docs in self._together(terms, query, ends, weights, shares, k, thresholds[queries]):
+                # What is left holds the k best; their full scores decide.
+                own, q = terms[ends[i]:ends[i + 1]], queries[i]
+                self.weights[own] = weights[own]
+                best = [(s, self.ids[d]) for s, d in zip(self._exact(docs).tolist(), docs.tolist(), strict=True)
+                        if s >= thresholds[q]]
+                self.weights[own] = 0
+                out[q] = sorted(best, key=_rank)[:k]
+        return out
+
+    def _together(self, terms: np.ndarray, query: np.ndarray, ends: np.ndarray, weights: np.ndarray,
+                  shares: np.ndarray, k: int, thresholds: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Number of a query, and documents among which are its k best."""
+        size, width = len(thresholds), self.block * self.blocks
+        row = self.row[terms]
+        often = np.zeros((size, len(self.often)), np.float32)
+        often[query[row >= 0], row[row >= 0]] = weights[terms[row >= 0]]
+        terms, query = terms[row < 0], query[row < 0]
+        known = np.empty((size, width), np.float32)
+        for first in range(0, size, ADDED):
+            part = slice(*np.searchsorted(query, (first, first + ADDED)))
+            some = terms[part]
+            lengths = self.sizes[some]
+            places = _ranges(self.starts[some], lengths)
+            spots = np.repeat((query[part] - first) * width, lengths) + self.spots[places]
+            rows = known[first:first + ADDED]
+            rows[:] = np.bincount(spots, shares[places], len(rows) * width).reshape(-1, width)
+        known = known.reshape(size, self.block, self.blocks)
+        bounds = often @ self.maxima.T
+        bounds += known.max(1)
+        least = np.maximum(thresholds * (1 - _SLACK), np.finfo(np.float32).tiny).astype(np.float32)
+
+        def added(query: int, blocks: np.ndarray) -> np.ndarray:
+            self.scored += self.block * len(blocks)
+            return (known[query][:, blocks] + self.own[:, blocks] @ often[query]).reshape(-1)
+
+        # Without a threshold the blocks with the highest bounds set one.
+        step = min(self.blocks, max(STEP, 2 * k))
+        for i in np.flatnonzero(thresholds <= 0):
+            sums = added(i, np.argpartition(bounds[i], self.blocks - step)[self.blocks - step:])
+            least[i] = max(least[i], _least(sums, k))
+        pivots = bounds >= least[:, None]
+        shared = np.flatnonzero(pivots.any(0))
+        if pivots.sum() * APART < len(shared) * size:
+            blocks = [np.flatnonzero(p) for p in pivots]
+            found = [(sums := added(i, b), np.flatnonzero(sums >= least[i])) for i, b in enumerate(blocks)]
+        else:
+            some = shared
+            if 3 * len(shared) > 2 * self.blocks:
+                shared, some = np.arange(self.blocks), slice(None)
+            blocks = [shared] * size
+            sums = (often @ self.own[:, some].reshape(-1, len(self.often)).T).reshape(size, self.block, -1)
+            sums += known[:, :, some]
+            self.scored += sums.size
+            sums = sums.reshape(size, -1)
+            at = np.flatnonzero(sums >= least[:, None])
+            cuts = np.searchsorted(at, np.arange(1, size) * sums.shape[1])
+            found = [(sums[i], a - i * sums.shape[1]) for i, a in enumerate(np.split(at, cuts))]
+        for i, (sums, at) in enumerate(found):
+            if len(at) > k:
+                at = at[sums[at] >= _least(sums[at], k)]
+            if len(at):
+                spot, block = np.divmod(at, len(blocks[i]))
+                yield i, blocks[i][block] * self.block + spot
 
     def _exact(self, docs: np.ndarray) -> np.ndarray:
         """Full scores; every document adds its terms in the order of their hashes."""
-        sizes = self.own_starts[docs + 1] - self.own_starts[docs]
-        at = _ranges(self.own_starts[docs], sizes)
-        return np.bincount(np.repeat(np.arange(len(docs)), sizes),
-                           self.weights[self.own_terms[at]] * self.own_impacts[at], len(docs))
+        starts, ends = self.own_starts[docs], self.own_starts[docs + 1]
+        terms = np.concatenate([self.own_terms[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)])
+        weights = self.weights[terms]
+        asked = np.flatnonzero(weights != 0)
+        before = np.append(0, np.cumsum(ends - starts))
+        doc = np.searchsorted(before, asked, "right") - 1
+        at = asked + (starts - before[:-1])[doc]
+        return np.bincount(doc, weights[asked] * self.own_impacts[at], len(docs))
+
+
+def _least(sums: np.ndarray, k: int) -> float:
+    """What the k-th largest of some sums leaves as the least for others, 0 if there are fewer."""
+    return float(np.partition(sums, len(sums) - k)[len(sums) - k]) * (1 - _SLACK) if len(sums) >= k else 0.0
 
 
 def _index(docs: DataFrame, shard_docs: int, shard_chars: int) -> DataFrame:
@@ -265,8 +353,7 @@ def _hits(index: DataFrame, batch, k: int, mean_length: float, block: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, sizes, terms, weights = batch.value
-        terms, weights = np.frombuffer(terms, "<i8"), np.frombuffer(weights, "<f8")
-        ends = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, "<i8"))])
+        asked = Asked(*(np.frombuffer(x, t) for x, t in ((sizes, "<i8"), (terms, "<i8"), (weights, "<f8"))))
         best: list[list[tuple]] = [[] for _ in ids]
         for rows in batches:
             for i in range(rows.num_rows):
@@ -275,12 +362,12 @@ def _hits(index: DataFrame, batch, k: int, mean_length: float, block: int) -> Da
                     np.frombuffer(rows.column(c)[i].as_py(), t) for c, t in ((3, "<u4"), (4, "<u2"), (5, "<u4")))
                 shard = Shard(ids_.to_pylist(), terms_.to_numpy(), sizes_.to_numpy(), lengths, docs, counts,
                               mean_length, block)
-                for q, so_far in enumerate(best):
-                    threshold = so_far[-1][0] if len(so_far) == k else 0.0
-                    part = slice(ends[q], ends[q + 1])
-                    hits = shard.search(terms[part], weights[part], k, threshold)
+                thresholds = np.array([so_far[-1][0] if len(so_far) == k else 0.0 for so_far in best])
+                for q, hits in enumerate(shard.search_all(asked, k, thresholds)):
                     if hits:
-                        best[q] = sorted(so_far + hits, key=_rank)[:k]
+                        best[q] = sorted(best[q] + hits, key=_rank)[:k]
+                # One shard at a time is in memory.
+                del shard
         found = [(id_, d, s) for id_, hits in zip(ids, best, strict=True) for s, d in hits]
         columns = [*zip(*found, strict=True)] or [[], [], []]
         yield pa.RecordBatch.from_arrays(

@@ -110,3 +110,36 @@ def test_a_very_long_text_is_a_shard_of_its_own(spark, monkeypatch):
     found = search(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1),
                    spark.createDataFrame([(9, "needle")], "query_id bigint, text string"))
     assert [r["doc_id"] for r in found.orderBy("rank").collect()] == [2, 3, 1]
+
+
+@pytest.mark.parametrize(("apart", "cells"), [(0, 8_000_000), (10**9, 8_000_000), (10**9, 1200)])
+def test_queries_of_a_batch_are_searched_together(words, monkeypatch, apart, cells):
+    monkeypatch.setattr(topk_search, "APART", apart)
+    monkeypatch.setattr(topk_search, "CELLS", cells)
+    monkeypatch.setattr(topk_search, "TOGETHER", 50)
+    hashes, shard = _shard([(i, words(5 + i % 90, i)) for i in range(301)], 4)
+    assert len(shard.often) > 1
+    bags = [topk_search.terms_of(words(3 + i % 40, 2 * i) + " unknown", hashes) for i in range(120)]
+    every = np.unique(np.concatenate(bags))
+    weight = dict(zip(every.tolist(), np.random.default_rng(1).uniform(0.1, 9, len(every)), strict=True))
+    weights = [np.array([weight[t] for t in bag.tolist()]) for bag in bags]
+    expected = []
+    for bag, own in zip(bags, weights, strict=True):
+        shard.weights[:] = 0
+        there = np.isin(bag, shard.terms)
+        shard.weights[np.searchsorted(shard.terms, bag[there])] = own[there]
+        scores = shard._exact(np.arange(301)).tolist()
+        expected.append([(-s, i) for s, i in sorted(zip([-s for s in scores], shard.ids, strict=True)) if s < 0][:10])
+    shard.weights[:] = 0
+    asked = topk_search.Asked(np.array([len(b) for b in bags]), np.concatenate(bags), np.concatenate(weights))
+    assert shard.search_all(asked, 10, np.zeros(120)) == expected
+    # With thresholds that nothing reaches, what is left to do is done for several queries at once.
+    calls = []
+    ranges = topk_search._ranges
+    monkeypatch.setattr(topk_search, "_ranges", lambda *args: calls.append(1) or ranges(*args))
+    assert shard.search_all(asked, 10, np.full(120, 1e6)) == [[]] * 120
+    assert len(calls) < 40
+    # A threshold leaves out what is below it, and nothing else.
+    thresholds = np.array([hits[4][0] for hits in expected])
+    assert shard.search_all(asked, 10, thresholds) == [
+        [h for h in hits if h[0] >= t] for hits, t in zip(expected, thresholds, strict=True)]
